@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 #: Characters of text that one step of an operator holds at a time, whatever the size of the Arrow batch.
@@ -15,7 +16,7 @@ def blocks(batches: Iterator[pa.RecordBatch], text: str, most: int = BLOCK_CHARS
     """Slices of the batches whose texts sum to about `most` characters, with the texts as strings (null: empty). A longer text stands alone."""
     for batch in batches:
         column = batch.column(batch.schema.get_field_index(text))
-        lengths = pa.compute.fill_null(pa.compute.binary_length(column), 0).to_pylist() if batch.num_rows else []
+        lengths = pc.fill_null(pc.binary_length(column), 0).to_pylist() if batch.num_rows else []
         start = size = 0
         for i, n in enumerate(lengths):
             if i > start and size + n > most:
