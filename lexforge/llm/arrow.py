@@ -7,6 +7,8 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType, _parse_datatype_string
 
 #: Characters of text that one step of an operator holds at a time, whatever the size of the Arrow batch.
 BLOCK_CHARS = 4_000_000
@@ -27,16 +29,13 @@ def blocks(batches: Iterator[pa.RecordBatch], text: str, most: int = BLOCK_CHARS
             yield batch.slice(start), [t or "" for t in column.slice(start).to_pylist()]
 
 
-def map_texts(df: DataFrame, text: str, schema: str, step: Callable[[pa.RecordBatch, list[str]], dict]) -> DataFrame:
-    """Run `step` over blocks of rows; it returns one column of values for each field of `schema`."""
-    from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import _parse_datatype_string
-
-    target = to_arrow_schema(_parse_datatype_string(schema))
+def map_texts(df: DataFrame, text: str, schema: StructType | str, step: Callable[[pa.RecordBatch, list[str]], dict]) -> DataFrame:
+    """Run `step` over blocks of rows; it returns a list of values or an Arrow array for each field of `schema`."""
+    types = {f.name: f.type for f in to_arrow_schema(_parse_datatype_string(schema) if isinstance(schema, str) else schema)}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, texts in blocks(batches, text):
             out = step(batch, texts)
-            yield pa.RecordBatch.from_arrays([x if isinstance(x := out[f.name], pa.Array) else pa.array(x, f.type) for f in target], schema=target)
+            yield pa.RecordBatch.from_arrays([out[k] if isinstance(out[k], pa.Array) else pa.array(out[k], kind) for k, kind in types.items()], list(types))
 
     return df.mapInArrow(run, schema)

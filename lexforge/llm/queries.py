@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexforge.llm import bpe
+from lexforge.llm import bagminhash, bpe, language_id, packing, quality_rules, secrets
 from lexforge.runtime import table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -25,5 +25,49 @@ def op1_bpe_pair_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_bpe_pair_index,)}
+def op2_adaptive_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = quality_rules.quality(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+def _digest(kinds: tuple[str, ...]) -> F.Column:
+    own = F.filter("spans", lambda x: x["kind"].isin(*kinds))
+    return F.array_join(F.transform(own, lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["end"].cast("string"))), ",")
+
+
+def op4_secret_guess_cost(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(table(spark, sf_dir, "documents"))
+    count = lambda kind: F.size(F.filter("spans", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select(
+        "doc_id",
+        *[count(k) for k in secrets.KINDS],
+        F.sha2(F.encode(_digest(secrets.KINDS[:3]), "UTF-8"), 256).alias("base_sha256"),
+        _digest(secrets.KINDS).alias("spans"),
+    )
+
+
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), BYTE_BPE)
+
+
+def op8_bagminhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = bagminhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.col("class").alias("class_id"))
+
+
+def op9_word_first_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    found = language_id.predict(docs.select("doc_id", "text"), language_id.train(docs))
+    return found.select("doc.doc_id", language_id.held_out("doc.doc_id").alias("held_out"), "lang_pred", "score")
+
+
+_ALL = (
+    op1_bpe_pair_index,
+    op2_adaptive_quality_rules,
+    op4_secret_guess_cost,
+    op6_best_fit_packing,
+    op8_bagminhash_near_dedup,
+    op9_word_first_language,
+)
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in _ALL}
 ORACLE: dict[str, str] = {}
