@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from lexforge.llm.arrow import map_texts
 
 #: Entries that each of an encoder's two generations of remembered pieces holds; forgetting costs time only.
-REMEMBERED = 250_000
+REMEMBERED = 150_000
 #: The white space of the pre-tokeniser.
 SPACES = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 

@@ -30,7 +30,7 @@ TINY = 1e-6
 MIN_DOCS = 100
 SPREAD = 3.0
 #: Ratios that have an upper threshold, each with the slack that is always allowed above the fence.
-SLACK = {"r_symbols": 0.1, "r_upper": 0.1, "r_exclaim": 0.1, "r_adjacent": 0.1, "r_repeat": 0.1, "r_dup_lines": 0.3}
+SLACK = {"r_symbols": 0.1, "r_upper": 0.1, "r_exclaim": 0.1, "r_adjacent": 0.1, "r_repeat": 0.25, "r_dup_lines": 0.35}
 #: Groups up to this many are sent to all executors (a row is under 100 bytes); beyond it the join is salted.
 MAX_BROADCAST_GROUPS = 20_000
 SALTS = 16

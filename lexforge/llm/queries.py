@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexforge.llm import bagminhash, bpe, language_id, packing, quality_rules, secrets
+from lexforge.llm import bagminhash, bpe, importance, language_id, licenses, packing, quality_rules, secrets, spotsigs, toxicity
+from lexforge.llm.labelled import labelled_sample
 from lexforge.runtime import table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -61,13 +62,69 @@ def op9_word_first_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc.doc_id", language_id.held_out("doc.doc_id").alias("held_out"), "lang_pred", "score")
 
 
+def op3_toxic_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(labelled_sample(docs, table(spark, sf_dir, "labels"), "toxic"))
+    found = toxicity.score(docs, model)
+    return found.select(
+        "doc_id",
+        language_id.held_out("doc_id").alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+        F.size("passages").cast("long").alias("n_passages"),
+    )
+
+
+def op5_license_expressions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        F.size("starts").cast("long").alias("n_base"),
+        F.array_min("starts").alias("first_word"),
+        F.array_max("starts").alias("last_word"),
+        F.array_join("base_labels", ",").alias("base_labels"),
+        F.array_join("labels", ",").alias("labels"),
+        "score",
+    )
+
+
+def op7_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    sample = labelled_sample(docs, table(spark, sf_dir, "labels"), "quality")
+    return importance.resample(docs, sample).select("doc_id", language_id.held_out("doc_id").alias("held_out"), "log_weight", "selected")
+
+
+def op10_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spotsigs.with_next(table(spark, sf_dir, "documents"))
+    rows = rows.withColumn("edited", spotsigs.edited(F.col("text"), F.col("next_text")))
+    sets = {"s": "text", "e": "edited", "n": "next_text"}
+    # A text's own set serves as well for the document before it, but meeting it there would shuffle sets instead of texts.
+    rows = rows.withColumns({k: spotsigs.signatures(F.col(v)) for k, v in sets.items()})
+    same = lambda v: F.when(F.col("text") == F.col(v), 1.0).otherwise(0.0)
+    likeness = lambda k: F.coalesce(spotsigs.jaccard(F.col("s"), F.col(k)), same(sets[k]))
+    return rows.select(
+        "doc_id",
+        F.length("text").cast("long").alias("n_chars"),
+        F.sha2(F.encode("edited", "UTF-8"), 256).alias("edited_sha256"),
+        spotsigs.fingerprint(F.col("s")).alias("fingerprint"),
+        spotsigs.fingerprint(F.col("e")).alias("edited_fingerprint"),
+        likeness("e").alias("near_edited"),
+        likeness("n").alias("near_next"),
+    )
+
+
 _ALL = (
     op1_bpe_pair_index,
     op2_adaptive_quality_rules,
+    op3_toxic_segments,
     op4_secret_guess_cost,
+    op5_license_expressions,
     op6_best_fit_packing,
+    op7_importance_resampling,
     op8_bagminhash_near_dedup,
     op9_word_first_language,
+    op10_spotsigs,
 )
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in _ALL}
 ORACLE: dict[str, str] = {}
