@@ -1,0 +1 @@
+"""Scalar functions over columns: characters, readings, numbers, costs and mark-up."""
