@@ -9,8 +9,8 @@ register with a probability equal to their weighted Jaccard similarity. A proces
 largest register of its document, so the work is about n + k log k points, not n * k.
 
 Registers are cut into bands. Within a bucket of equal bands, every other text is compared with the bucket's leader, texts
-that then share a component are settled, and whatever members of different components remain are compared as well, so
-that no link inside a bucket is lost. Each comparison computes the exact multiset overlap from the whole texts. With
+that then share a component are settled, and whatever members of different components remain are compared as well, in
+blocks of bounded size, so that no link inside a bucket is lost. Each comparison computes the exact multiset overlap from the whole texts. With
 24 bands of 5 rows, a pair of similarity 0.8 meets with probability 0.99993, and more similar ones more surely.
 
 Defined results: a null text counts as empty; equal texts are always in one class, empty ones too; texts of fewer than
@@ -31,6 +31,8 @@ from lexforge.llm.components import components
 from lexforge.runtime import materialize
 
 SHINGLE, THRESHOLD, BANDS, ROWS = 5, 0.8, 24, 5
+#: Members of a bucket that one task compares with as many others.
+BLOCK = 256
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD], np.uint64)
 
 
@@ -170,33 +172,96 @@ def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame
     return rows.mapInArrow(run, "u binary, v binary")
 
 
+def _group_links(texts: list[str], roots: list, threshold: float) -> list[tuple[int, int]]:
+    """Links between texts of different roots in a group of bounded size; one for each pair of roots that it brings together.
+
+    A bag becomes a set by numbering the occurrences of a shingle, so that multiset overlaps are products of a 0/1 matrix. Columns
+    that only one text has don't matter, and the rest are taken in slices.
+    """
+    doc, value, weight = shingles(texts)
+    size = np.bincount(doc, weights=weight, minlength=len(texts))
+    element = np.repeat(np.arange(len(value)), weight)
+    nth = np.arange(len(element)) - np.repeat(np.cumsum(weight) - weight, weight)
+    column = np.unique(mix(value[element] + nth.astype(np.uint64) * _ODD[3]), return_inverse=True)[1]
+    row = doc[element]
+    often = np.bincount(column) > 1 if len(column) else np.zeros(0, bool)
+    new = np.cumsum(often) - 1
+    row, column = row[often[column]], new[column[often[column]]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    shared = np.zeros((len(texts), len(texts)), np.float32)
+    for start in range(0, int(new[-1]) + 1 if len(new) else 0, 8192):
+        a, b = np.searchsorted(column, (start, start + 8192))
+        part = np.zeros((len(texts), 8192), np.float32)
+        part[row[a:b], column[a:b] - start] = 1
+        shared += part @ part.T
+    names = {r: i for i, r in enumerate(dict.fromkeys(roots))}
+    parent = list(range(len(names)))
+
+    def top(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = x = parent[parent[x]]
+        return x
+
+    own, out = [names[r] for r in roots], []
+    # In whole numbers: shared / (a + b - shared) >= threshold, with room for the threshold's own rounding.
+    for i, j in zip(*np.nonzero(np.triu(shared * (1 + threshold) >= threshold * (size[:, None] + size[None, :]) - 1e-3, 1)), strict=True):
+        a, b = top(own[i]), top(own[j])
+        if a != b and shared[i, j] / (size[i] + size[j] - shared[i, j]) >= threshold:
+            parent[a] = b
+            out.append((int(i), int(j)))
+    return out
+
+
+def _rest_verified(members: DataFrame, texts: DataFrame, threshold: float, block: int = BLOCK) -> DataFrame:
+    """Links (u, v) between members (bucket, node, root) of a bucket that have different roots.
+
+    A bucket is cut into blocks of about `block` members, and each pair of blocks is compared in one task, so a large
+    bucket takes many tasks of bounded size, and no row is made for a pair that isn't a link.
+    """
+    sizes = members.groupBy("bucket").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
+    cut = members.join(sizes, "bucket").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    dealt = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = dealt.select("bucket", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"), "node", "root")
+    # A pair of blocks in which all have one root has nothing to compare.
+    several = dealt.groupBy("bucket", "a", "b").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("bucket", "a", "b")
+    rows = dealt.join(several, ["bucket", "a", "b"], "left_semi").join(texts, "node").select("bucket", "a", "b", "node", "root", "text")
+
+    def compare(table: pa.Table) -> pa.Table:
+        nodes, found = table.column("node"), _group_links([t or "" for t in table.column("text").to_pylist()], table.column("root").to_pylist(), threshold)
+        return pa.table({"u": nodes.take(pa.array([i for i, _ in found], pa.int64())), "v": nodes.take(pa.array([j for _, j in found], pa.int64()))})
+
+    return rows.groupBy("bucket", "a", "b").applyInArrow(compare, "u binary, v binary")
+
+
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """(id, node, class): the content key of each row and the smallest id of its class of near-duplicates."""
     signed = materialize(_signed(docs, id_col, text_col, bands, rows))
     # Exact copies are one node from here on; a group of copies is combined before the shuffle.
     nodes = materialize(signed.groupBy("node").agg(F.min(id_col).alias("least"), F.any_value("size").alias("size"), F.any_value("bands").alias("bands")))
     spread = nodes.select("node", "size", F.explode("bands").alias("bucket"))
-    shared = spread.groupBy("bucket").agg(F.min("node").alias("leader"), F.max("node").alias("last")).filter("leader <> last").select("bucket", "leader")
-    members = materialize(spread.join(shared, "bucket").select("bucket", "node", "size", "leader"))
+    counts = spread.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
+    members = materialize(spread.join(counts, "bucket"))
+    # A bucket's leader is the member that meets the most others in all its buckets: the text that others were made from, if it is there.
+    degrees = members.groupBy("node").agg(F.sum("n").alias("degree"))
+    members = members.join(degrees, "node").select("bucket", "node", "size", "degree")
+    leaders = members.groupBy("bucket").agg(F.max(F.struct("degree", "node", "size")).alias("leader"))
+    members = materialize(members.join(leaders, "bucket").select("bucket", "node", "size", F.col("leader.node").alias("leader"), F.col("leader.size").alias("other")))
     similar = F.least("size", "other") >= threshold * F.greatest("size", "other")
-    first = members.join(nodes.select(F.col("node").alias("leader"), F.col("size").alias("other")), "leader").filter("node <> leader").filter(similar)
-    first = materialize(first.select(F.col("leader").alias("u"), F.col("node").alias("v")).distinct())
+    first = materialize(members.filter("node <> leader").filter(similar).select(F.col("leader").alias("u"), F.col("node").alias("v")).distinct())
     wanted = members.select("node").distinct().join(nodes, "node").select(F.col("least").alias(id_col), "node")
     texts = docs.select(id_col, F.coalesce(text_col, F.lit("")).alias("text")).join(wanted, id_col)
     texts = texts.filter(node_of(F.col("text")) == F.col("node")).dropDuplicates([id_col, "node"]).select("node", "text")
     links = materialize(_verified(first, texts, threshold))
     roots = materialize(components(links))
     # Members of a bucket that the leader has not brought into one component are compared with those of the others.
-    placed = members.join(roots, "node", "left").select("bucket", "node", "size", "leader", F.coalesce("root", "node").alias("root"))
+    placed = members.filter("node <> leader").join(roots, "node", "left").select("bucket", "node", F.coalesce("root", "node").alias("root"))
     split = placed.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("bucket")
-    open_members = materialize(placed.join(split, "bucket", "left_semi").filter("node <> leader"))
-    left = open_members.select("bucket", F.col("node").alias("u"), F.col("root").alias("ru"), "size")
-    right = open_members.select("bucket", F.col("node").alias("v"), F.col("root").alias("rv"), F.col("size").alias("other"))
-    second = left.join(right, "bucket").filter("ru <> rv and u < v").filter(similar).select("u", "v").distinct()
-    second = materialize(second)
-    if not second.isEmpty():
-        more = materialize(_verified(second, texts, threshold))
-        roots = materialize(components(links.union(more)))
+    rest = materialize(placed.join(split, "bucket", "left_semi"))
+    if not rest.isEmpty():
+        more = materialize(_rest_verified(rest, texts, threshold))
+        if not more.isEmpty():
+            roots = materialize(components(links.union(more)))
     classes = nodes.select("node", "least").join(roots, "node", "left").select("node", "least", F.coalesce("root", "node").alias("root"))
     heads = classes.groupBy("root").agg(F.min("least").alias("class"))
     named = classes.join(heads, "root").select("node", "class")
