@@ -12,6 +12,7 @@ one for one, repeated rows too; an empty table gives an empty result; other colu
 
 from __future__ import annotations
 
+import gc
 import heapq
 import json
 import re
@@ -26,7 +27,7 @@ from pyspark.sql import DataFrame
 from lexforge.llm.arrow import map_texts
 
 #: Entries that each of an encoder's two generations of remembered pieces holds; forgetting costs time only.
-REMEMBERED = 150_000
+REMEMBERED = 200_000
 #: The white space of the pre-tokeniser.
 SPACES = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 
@@ -66,7 +67,7 @@ def pre_token_patterns() -> tuple[re.Pattern, re.Pattern]:
 
 #: A space that starts a word always starts a pre-token, so pieces between such spaces can be cut on their own.
 PIECES = re.compile(f" (?=[^{SPACES}])")
-WHITE = frozenset(c for c in map(chr, range(0x3001)) if re.match(f"[{SPACES}]", c))
+WHITE_BUT_SPACE = frozenset(c for c in map(chr, range(0x21, 0x3001)) if re.match(f"[{SPACES}]", c)) | frozenset("\t\n\v\f\r")
 
 
 def _byte_of() -> dict[str, int]:
@@ -163,6 +164,19 @@ def merge_words(vocabulary: Vocabulary, words: list[bytes]) -> list[bytes]:
     return [packed[4 * s + 4 : 4 * e] for s, e in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
 
 
+def library_words(vocabulary: Vocabulary, words: list[bytes]) -> list[bytes]:
+    """The same ids by a library's merge loop, for callers that only need ids; its ranks are the ids, which follow the merges."""
+    from array import array
+
+    if (codec := getattr(vocabulary, "codec", None)) is None:
+        import tiktoken
+
+        ranks = {b: i for i, b in vocabulary.bytes_of.items() if i not in vocabulary.special.values()}
+        codec = vocabulary.codec = tiktoken.Encoding("own", pat_str="(?s).+", mergeable_ranks=ranks, special_tokens={})
+    cut = codec._encode_single_piece
+    return [array("I", cut(w)).tobytes() for w in words]
+
+
 class Encoder:
     """Encodes whole texts; remembers the ids of recent pieces in two generations of bounded size."""
 
@@ -174,7 +188,7 @@ class Encoder:
 
     def _cut(self, key: str) -> list[str]:
         """The pre-tokens of a piece."""
-        piece = key[1:] if key[0] == "\n" else " " + key
+        piece = key[1:] if key[0] == " " else " " + key
         if key.isalpha():
             return [piece]
         if key[-1] in ",." and key[:-1].isalpha():
@@ -197,28 +211,37 @@ class Encoder:
         if len(self.young) > REMEMBERED:
             self.old, self.young = self.young, {}
         young, old = self.young, self.old
-        parts, missing = [], set()
+        # A key is what follows a space; that of a span's first piece, which follows none, starts with one.
+        parts: list[list] = []
         for text in texts:
             own: list = []
             for n, span in enumerate(vocabulary.splitter.split(text) if vocabulary.splitter else [text]):
                 if n % 2:
                     own.append(vocabulary.special[span].to_bytes(4, "little"))
                 elif span:
-                    # A key is what follows a space; a span's first piece, which follows none, has a line break before it.
                     keys = span.split(" ")
-                    keys[0] = "\n" + keys[0]
-                    new = {k for k in keys if k not in young}
-                    if any(not k or k[0] in WHITE for k in new if k is not keys[0]):
-                        keys = PIECES.split(span)
-                        keys[0] = "\n" + keys[0]
-                        new = {k for k in keys if k not in young}
-                    missing |= new
+                    keys[0] = " " + keys[0]
                     own.append(keys)
             parts.append(own)
+        missing = set().union(*[x for own in parts for x in own if isinstance(x, list)]).difference(young)
+        # A space before white space starts no pre-token; texts with one are cut again.
+        odd = {k for k in missing if not k or k[0] in WHITE_BUT_SPACE}
+        if odd:
+            missing -= odd
+            for own in parts:
+                for n, keys in enumerate(own):
+                    if isinstance(keys, list) and not odd.isdisjoint(keys):
+                        own[n] = PIECES.split(" ".join(keys)[1:])
+                        own[n][0] = " " + own[n][0]
+                        missing |= set(own[n]).difference(young)
         for k in [k for k in missing if k in old]:
             young[k] = old[k]
             missing.discard(k)
+        tracked = gc.isenabled()
+        gc.disable()  # nothing below makes cycles, and the remembered pieces are many
         self._learn(list(missing))
+        if tracked:
+            gc.enable()
         get = young.__getitem__
         return [b"".join([b"".join(map(get, x)) if isinstance(x, list) else x for x in own]) for own in parts]
 

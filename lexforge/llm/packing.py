@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexforge.llm.arrow import map_texts
-from lexforge.llm.bpe import broadcast_tokenizer, shared_encoder
+from lexforge.llm.bpe import broadcast_tokenizer, library_words, shared_encoder
 from lexforge.runtime import materialize
 
 WINDOW, END_ID, SHARDS = 1024, 0, 512
@@ -109,7 +109,7 @@ def _measured(docs: DataFrame, id_col: str, text_col: str, tokenizer: str, windo
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
 
     def step(batch: pa.RecordBatch, texts: list[str]) -> dict:
-        ids = [x + end_id.to_bytes(4, "little") for x in shared_encoder(spec).encode(texts)]
+        ids = [x + end_id.to_bytes(4, "little") for x in shared_encoder(spec, library_words).encode(texts)]
         crcs = [[zlib.crc32(x[i : i + 4 * window]) for i in range(0, len(x), 4 * window)] for x in ids]
         return {"id": batch.column(0), "tokens": [len(x) // 4 for x in ids], "crcs": crcs}
 
