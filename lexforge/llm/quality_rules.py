@@ -36,52 +36,83 @@ MAX_BROADCAST_GROUPS = 20_000
 SALTS = 16
 
 
+def let(value: Column, body) -> Column:
+    """`body` of a value that is computed once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def measure(text: Column) -> Column:
+    """A struct of the base counts and the ratios of a whole text."""
+    white = lambda x: F.translate(x, WHITE, "")
+    pick = lambda xs, k: F.get(xs, k)
+
+    def places(s: Column) -> Column:
+        """The places of windows that occur twice, in order, from the windows' (hash, place) in order."""
+        equal = lambda a, b: F.coalesce(pick(s, a)["h"] == pick(s, b)["h"], F.lit(False))
+        twice = F.filter(F.sequence(F.lit(0), F.size(s) - 1), lambda k: equal(k, k - 1) | equal(k, k + 1))
+        return F.array_sort(F.transform(twice, lambda k: pick(s, k)["i"]))
+
+    def covered(p: Column) -> Column:
+        gaps = F.transform(F.sequence(F.lit(0), F.size(p) - 2), lambda k: F.least(F.lit(WINDOW), pick(p, k + 1) - pick(p, k)))
+        return F.aggregate(gaps, F.lit(0), lambda a, x: a + x) + WINDOW
+
+    def repeated(win: Column) -> Column:
+        # Equal windows stand next to each other once sorted with their places; texts without any skip the sort.
+        by_hash = F.array_sort(F.transform(win, lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
+        return F.when(F.size(F.array_distinct(win)) < F.size(win), let(let(by_hash, places), covered)).otherwise(0)
+
+    def of_hashes(h: Column) -> Column:
+        window = lambda i: F.xxhash64(*[pick(h, i + k) for k in range(WINDOW)])
+        windows = F.transform(F.sequence(F.lit(0), F.size(h) - WINDOW), window)
+        adjacent = F.size(F.filter(F.sequence(F.lit(1), F.size(h) - 1), lambda i: pick(h, i) == pick(h, i - 1)))
+        return F.struct(
+            F.size(h).cast("long").alias("n_words"),
+            F.when(F.size(h) >= WINDOW, let(windows, repeated)).otherwise(0).cast("long").alias("n_repeat_words"),
+            F.when(F.size(h) > 1, adjacent).otherwise(0).alias("adjacent"),
+        )
+
+    def of_lines(x: Column) -> Column:
+        return F.struct(F.size(x).alias("lines"), (F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"))
+
+    def of_text(t: Column) -> Column:
+        hashes = F.transform(F.filter(F.split(t, "[\\x20\\x09-\\x0D]+"), lambda w: w != ""), lambda w: F.xxhash64(w))
+        lines = F.filter(F.split(t, "\n"), lambda x: F.length(white(x)) > 0)
+        without = lambda drop: F.length(t) - F.length(F.translate(t, drop, ""))
+        return F.struct(
+            let(hashes, of_hashes).alias("w"),
+            let(lines, of_lines).alias("l"),
+            F.length(white(t)).cast("long").alias("word_chars"),
+            without(SYMBOLS).cast("long").alias("n_symbols"),
+            without("!").alias("exclaim"),
+            (F.length(t) - F.length(F.regexp_replace(t, "\\p{Lu}", ""))).alias("upper"),
+        )
+
+    def whole(m: Column) -> Column:
+        of = lambda a, b: a / F.greatest(b, F.lit(1))
+        n, repeat = m["w"]["n_words"], m["w"]["n_repeat_words"]
+        return F.struct(
+            n.alias("n_words"),
+            m["word_chars"].alias("word_chars"),
+            m["n_symbols"].alias("n_symbols"),
+            m["l"]["n_dup_lines"].alias("n_dup_lines"),
+            repeat.alias("n_repeat_words"),
+            ((n < 20) | (100 * repeat > 30 * n)).alias("base_failed"),
+            of(m["n_symbols"], n).alias("r_symbols"),
+            of(m["upper"], m["word_chars"]).alias("r_upper"),
+            of(m["exclaim"], n).alias("r_exclaim"),
+            of(m["w"]["adjacent"], n).alias("r_adjacent"),
+            of(repeat, n).alias("r_repeat"),
+            of(m["l"]["n_dup_lines"], m["l"]["lines"]).alias("r_dup_lines"),
+        )
+
+    return let(let(F.coalesce(text, F.lit("")), of_text), whole)
+
+
 def measured(df: DataFrame, text: Column) -> DataFrame:
-    """Add the base counts and the ratios of each whole text as columns; `_` columns are scratch."""
-    clean = F.coalesce(text, F.lit(""))
-    out = df.withColumn("_t", clean).withColumn("_w", F.filter(F.split("_t", "[\\x20\\x09-\\x0D]+"), lambda w: w != ""))
-    out = out.withColumn("_n", F.size("_w")).withColumn("_h", F.transform("_w", lambda w: F.xxhash64(w)))
-    window = lambda i: F.xxhash64(*[F.get("_h", i + k) for k in range(WINDOW)])
-    none = F.array().cast("array<bigint>")
-    out = out.withColumn("_win", F.when(F.col("_n") >= WINDOW, F.transform(F.sequence(F.lit(0), F.col("_n") - WINDOW), window)).otherwise(none))
-    # Equal windows stand next to each other once sorted with their places; texts without any skip the sort.
-    some = F.size(F.array_distinct("_win")) < F.size("_win")
-    out = out.withColumn("_s", F.when(some, F.array_sort(F.transform("_win", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))))
-    hash_at = lambda k: F.get("_s", k)["h"]
-    twice = F.filter(F.sequence(F.lit(0), F.size("_s") - 1), lambda k: F.coalesce(hash_at(k) == hash_at(k - 1), F.lit(False)) | F.coalesce(hash_at(k) == hash_at(k + 1), F.lit(False)))
-    out = out.withColumn("_p", F.when(F.col("_s").isNotNull(), F.array_sort(F.transform(twice, lambda k: F.get("_s", k)["i"]))))
-    gaps = F.transform(F.sequence(F.lit(0), F.size("_p") - 2), lambda k: F.least(F.lit(WINDOW), F.get("_p", k + 1) - F.get("_p", k)))
-    covered = F.aggregate(gaps, F.lit(0), lambda a, x: a + x) + WINDOW
-    lines = F.filter(F.split("_t", "\n"), lambda x: F.length(F.translate(x, WHITE, "")) > 0)
-    adjacent = F.size(F.filter(F.sequence(F.lit(1), F.col("_n") - 1), lambda i: F.get("_h", i) == F.get("_h", i - 1)))
-    without = lambda drop: F.length("_t") - F.length(F.translate("_t", drop, ""))
-    out = out.withColumn("_l", lines).withColumns(
-        {
-            "n_words": F.col("_n").cast("long"),
-            "word_chars": F.length(F.translate("_t", WHITE, "")).cast("long"),
-            "n_symbols": without(SYMBOLS).cast("long"),
-            "n_dup_lines": (F.size("_l") - F.size(F.array_distinct("_l"))).cast("long"),
-            "n_repeat_words": F.when(F.col("_p").isNotNull(), covered).otherwise(0).cast("long"),
-            "_lines": F.size("_l"),
-            "_exclaim": without("!"),
-            "_upper": F.length("_t") - F.length(F.regexp_replace("_t", "\\p{Lu}", "")),
-            "_adjacent": F.when(F.col("_n") > 1, adjacent).otherwise(0),
-        }
-    )
-    of = lambda a, b: F.col(a) / F.greatest(F.col(b), F.lit(1))
-    out = out.withColumns(
-        {
-            # rand() is below 2, always: it only keeps the optimiser from repeating the counts' expressions in a filter on this column.
-            "base_failed": F.when(F.rand() < 2, (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))),
-            "r_symbols": of("n_symbols", "n_words"),
-            "r_upper": of("_upper", "word_chars"),
-            "r_exclaim": of("_exclaim", "n_words"),
-            "r_adjacent": of("_adjacent", "n_words"),
-            "r_repeat": of("n_repeat_words", "n_words"),
-            "r_dup_lines": of("n_dup_lines", "_lines"),
-        }
-    )
-    return out.drop("_t", "_w", "_n", "_h", "_win", "_s", "_p", "_l", "_lines", "_exclaim", "_upper", "_adjacent")
+    """Add the base counts and the ratios of each whole text as columns."""
+    # rand() is below 2, always: it only keeps the optimiser from computing the struct again in filters on its fields.
+    m = df.withColumn("_m", F.when(F.rand() < 2, measure(text)))
+    return m.select(*df.columns, "_m.*")
 
 
 def sketches(rows: DataFrame) -> DataFrame:
