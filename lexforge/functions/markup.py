@@ -21,7 +21,7 @@ SILENT = frozenset("script style template noscript head rt rp".split())
 
 def finish_lines(text: Column, japanese_only: bool = False) -> Column:
     """The trimmed lines that aren't empty; with `japanese_only`, those with kana or kanji."""
-    lines = F.filter(F.transform(F.split(text, "\n"), F.trim), lambda x: x != "")
+    lines = F.filter(F.transform(F.split(text, "\n"), lambda x: F.trim(x)), lambda x: x != "")
     return F.filter(lines, is_japanese) if japanese_only else lines
 
 
@@ -128,7 +128,7 @@ def strip_wikitext(text: pd.Series) -> pd.Series:
 
 def categories_of(text: Column) -> Column:
     """The names of a wiki text's categories, sort keys left out."""
-    return F.transform(F.regexp_extract_all(text, F.lit("\\[\\[(?i:category|カテゴリ)\\s*:\\s*([^\\]|]+)"), 1), F.trim)
+    return F.transform(F.regexp_extract_all(text, F.lit("\\[\\[(?i:category|カテゴリ)\\s*:\\s*([^\\]|]+)"), 1), lambda x: F.trim(x))
 
 
 def is_disambiguation(text: Column) -> Column:

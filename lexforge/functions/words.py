@@ -30,8 +30,9 @@ def kind_of(key: Column) -> Column:
 
 
 def is_word(reading: Column, surface: Column) -> Column:
-    """A kana reading and a surface without white space that isn't the reading itself."""
-    return kana.is_reading(reading) & ~surface.rlike("[\\s\\p{Cntrl}]") & (F.length(surface) > 0) & (reading != surface)
+    """Whether a line can be a word: its reading starts with a kana that starts words, and its surface has no white space or stray marks."""
+    # Kana that start no word, and marks that end or fill none.
+    return ~reading.rlike("^(?:[ぁぃぅぇぉゃゅょゎゕゖっんー]|$)") & ~surface.rlike("[\\s\\p{Z}゛゜、]") & ~surface.rlike("[-－〜～]$")
 
 
 def is_glossed(surface: Column) -> Column:
@@ -40,17 +41,18 @@ def is_glossed(surface: Column) -> Column:
 
 
 def is_cut_short(reading: Column, surface: Column) -> Column:
-    """Whether a conjugated form ends in a small tsu that its reading shares: it waits for what follows."""
-    return reading.endswith("っ") & surface.endswith("っ")
+    """Whether a form with kanji was cut at a small tsu: its reading ends in one."""
+    return reading.endswith("っ") & kana.has_kanji(surface)
 
 
 def okuri_line(reading: Column, surface: Column) -> Column:
-    """A struct (reading, surface) with `*` before the first kana after the kanji, cut there; null if the kana don't end the reading."""
+    """A struct (reading, surface) with `*` before the first kana after the kanji, both cut after it; null if the kana don't end the reading."""
     tail = F.regexp_extract(surface, f"^.*[{kana.KANJI}]([{kana.HIRAGANA}]+)$", 1)
-    stem = F.regexp_extract(surface, f"^(.*[{kana.KANJI}])[{kana.HIRAGANA}]+$", 1)
     head = F.substring(reading, F.lit(1), F.length(reading) - F.length(tail))
-    line = F.struct(F.concat(head, F.lit("*"), F.substring(tail, 1, 1)).alias("reading"), stem.alias("surface"))
-    return F.when((F.length(tail) > 0) & reading.endswith(tail) & (F.length(head) > 0), line)
+    first = F.substring(tail, 1, 1)
+    stem = F.substring(surface, F.lit(1), F.length(surface) - F.length(tail))
+    line = F.struct(F.concat(head, F.lit("*"), first).alias("reading"), F.concat(stem, first).alias("surface"))
+    return F.when((F.length(tail) > 0) & reading.endswith(tail), line)
 
 
 def particle_line(reading: Column, surface: Column, particle: Column) -> Column:
@@ -59,22 +61,28 @@ def particle_line(reading: Column, surface: Column, particle: Column) -> Column:
 
 
 def typed_reading(reading: Column) -> Column:
-    """What is typed for a symbol's reading: digits and signs in full width; null if other letters remain."""
-    # What the keys type.
-    ascii_ = "0123456789,.-~!?()[]/"
-    typed = "０１２３４５６７８９、。ー〜！？（）「」・"
-    full = F.translate(kana.to_hiragana(reading), ascii_, typed)
-    return F.when(full.rlike(f"^[{kana.HIRAGANA}{kana.LONG}０-９、。〜！？（）「」・]+$"), full)
+    """What is typed for a symbol's reading: digits and signs in full width, katakana as hiragana; null if letters or kanji remain."""
+    # The signs that type as Japanese punctuation; the rest of ASCII but letters types as its full-width twin.
+    own = dict(zip("-,.[]/~", "ー、。「」・〜", strict=True))
+    ascii_ = [chr(c) for c in range(0x21, 0x7F) if not chr(c).isalpha()]
+    full = F.translate(kana.to_hiragana(reading), "".join(ascii_), "".join(own.get(c, chr(ord(c) + 0xFEE0)) for c in ascii_))
+    return F.when(full.rlike(f"^(?:[{kana.HIRAGANA}ー、。「」・〜]|(?![Ａ-Ｚａ-ｚ])[！-～])+$"), full)
 
 
-def reading_form(reading: Column, ending: Column) -> Column:
-    """A line's reading with the terminal ending of its conjugation; null for numeric and okurigana lines."""
-    return F.when(~reading.rlike("[0-9 {*]"), F.concat(reading, F.coalesce(ending, F.lit(""))))
+def reading_form(reading: Column, surface: Column, ending: Column) -> Column:
+    """A struct (surface, reading) to be read by a second analyzer, with the terminal ending of the line's conjugation.
 
+    Null for surfaces without kanji or with white space or digits, for numeric and okurigana lines, and for conjugations without an ending
+    (a null one; plain words have an empty one).
+    """
+    fits = kana.has_kanji(surface) & ~reading.rlike("[{*]") & ~surface.rlike("[\\s\\p{Z}0-9０-９]") & ending.isNotNull()
+    return F.when(fits, F.struct(F.concat(surface, ending).alias("surface"), F.concat(reading, ending).alias("reading")))
 
-def stratum_of(cost: Column, conjugation: Column) -> Column:
-    """The stratum of a base line: common below 1500, lexicon-only from 3000, conjugating ones apart."""
-    return F.when(conjugation.isNotNull(), "conjugating").when(cost < 1500, "common").when(cost >= 3000, "lexicon").otherwise("middle")
+
+def stratum_of(dictionary: Column, reading: Column, conjugation: Column, cost: Column) -> Column:
+    """The stratum of a line: that of a base line by its kind and cost, else its dictionary's name."""
+    base = F.when(F.length(F.coalesce(conjugation, F.lit(""))) > 0, "conjugating").when(reading.contains("{"), "numeric").when(cost >= 3000, "unidic-only").when(cost < 1500, "common").otherwise("rare")
+    return F.when(dictionary == "base", F.concat(F.lit("base:"), base)).otherwise(dictionary)
 
 
 def written_surface(surface: Column) -> Column:

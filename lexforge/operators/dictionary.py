@@ -122,3 +122,12 @@ def alignment_shares(alignments: DataFrame) -> DataFrame:
     ways = Window.partitionBy("word")
     out = alignments.withColumn("ways", F.size(F.collect_set("way").over(ways)))
     return out.groupBy("reading", "kanji").agg(F.sum(F.exp(-F.col("cost") / 100) / F.col("ways")).alias("weight"))
+
+
+def nihon(lines: DataFrame) -> DataFrame:
+    """(reading, surface, cost): the にほん readings of the lines that read 日本 only as にっぽん, at their cost; those there already stay away."""
+    from lexforge.functions.words import nihon_readings
+
+    own = lines.select(nihon_readings(F.col("reading"), F.col("surface")).alias("reading"), "surface", "cost").filter("reading is not null")
+    read = lines.filter(F.col("reading").contains("にほん")).select("surface").distinct()
+    return own.join(read, "surface", "left_anti").select("reading", "surface", "cost")

@@ -20,7 +20,7 @@ def occurrences(docs: DataFrame, patterns: DataFrame) -> DataFrame:
         raise ValueError(f"patterns of more than {MAX_LENGTHS} lengths; split them")
     edged = F.concat(F.lit("\0"), F.col("text"), F.lit("\0"))  # so that each substring has a neighbour on both sides
     none = F.array().cast("array<struct<at:int,g:string>>")
-    grams = lambda n: F.transform(F.regexp_extract_all(edged, F.lit(f"(?s)(?=(.{{{n + 2}}}))"), 1), lambda g, i: F.struct((i + 1).alias("at"), g.alias("g")))
+    grams = lambda n: F.transform(F.regexp_extract_all(edged, F.lit(f"(?s)(?=(.{{{n + 2}}}))."), 1), lambda g, i: F.struct((i + 1).alias("at"), g.alias("g")))
     dealt = docs.select("k", F.length("text").alias("size"), F.explode(F.concat(none, *[grams(n) for n in lengths])).alias("x"))
     n = F.length("x.g") - 2
     rows = dealt.select("k", "x.at", F.substring("x.g", F.lit(2), n).alias("pattern"), F.when(F.col("x.at") > 1, F.substring("x.g", 1, 1)).alias("before"), F.when(F.col("x.at") + n <= F.col("size"), F.substring("x.g", n + 2, F.lit(1))).alias("after"))
