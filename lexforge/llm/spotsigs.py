@@ -30,7 +30,7 @@ au avec dans de du en est et la le les par pas pour que qui sur un une ou
 al con del el es lo los las no para por se su una y""".split()
 MARK = "\x01"
 #: Blocks of the id order; the driver holds one id for each.
-BLOCKS = 256
+BLOCKS = 1024
 
 
 def signatures(text: Column) -> Column:
