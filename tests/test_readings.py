@@ -1,6 +1,7 @@
 import itertools
 
 from lexforge.functions import readings as r
+from lexforge.operators import japanese as j
 
 
 def test_counters_change_after_numbers():
@@ -33,3 +34,25 @@ def test_alignments():
     assert r.alignments("にっぽん", "日本", of) == [[("にち", "日"), ("ほん", "本")]]
     assert r.alignments("がっこう", "学校", of) == [[("がく", "学"), ("こう", "校")]] and r.alignments("ひの", "日の", of) == [[("ひ", "日")]] and r.alignments("x", "日", of) == []
     assert len(r.alignments("あ" * 8, "字" * 8, {"字": ["あ", "あ"]}, most=64)) == 64
+
+
+def test_affixes_are_joined_unless_the_lexicon_reads_otherwise():
+    t = j.parse_tokens("大/おお/接頭辞 川/かわ/名詞 的/てき/接尾辞,名詞的 な/な/助動詞")
+    words, parts = j.join_affixes(t, {})
+    assert [(x.surface, x.reading) for x in words] == [("大川的", "おおかわてき"), ("な", "な")] and [p.surface for p in parts[0]] == ["大", "川", "的"]
+    words, parts = j.join_affixes(t, {"大川": ["おおがわ"]})
+    assert words[0].reading == "おおがわてき" and [p.surface for p in parts[0]] == ["大川", "的"]
+    assert [x.surface for x in j.join_affixes(t, {"大川": ["だいせん", "たいせん"]})[0]] == ["大", "川的", "な"]
+
+
+def test_auxiliaries_are_joined_to_stems():
+    t = "書き/かき/動詞,一般,*,*,五段-カ行,連用形-一般/書く 始め/はじめ/動詞,非自立可能,*,*,下一段-マ行,連用形-一般/始める"
+    words, made = j.join_auxiliaries(j.parse_tokens(t))
+    assert [(x.surface, x.dictionary_form) for x in words] == [("書き始め", "書き始める")] and made == {0}
+    assert len(j.join_auxiliaries(j.parse_tokens("お/お/接頭辞 " + t))[0]) == 3
+    assert len(j.join_auxiliaries(j.parse_tokens(t.replace("始める", "致す")))[0]) == 2
+
+
+def test_numbers_with_counters():
+    out = j.numeric_units(j.parse_tokens("第/だい/接頭辞 三/さん/名詞,数詞 回/かい/名詞,普通名詞,助数詞可能 と/と/助詞 二十/にじゅう/名詞,数詞 一/いち/名詞,数詞 本/ほん/名詞,普通名詞,助数詞可能 目/め/接尾辞"))
+    assert [(u["position"], u["reading"], u["surface"], u["value"], u["kana"]) for u in out] == [(0, "だい{}かい", "第{kanji}回", "3", "だいさんかい"), (4, "{}ほんめ", "{kanji}本目", "21", "にじゅういっぽんめ")]
