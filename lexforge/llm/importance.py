@@ -4,7 +4,7 @@ The target model counts the hashed words and word pairs of good documents (a bou
 of all documents. A document's log weight is the mean, over its n-grams, of the log ratio of both models. Documents are
 drawn without replacement in proportion to exp(`SHARPNESS` * log weight), which is taking the k largest of
 `SHARPNESS` * log weight plus Gumbel noise. The noise comes from a hash of the id and the text, so a draw can be repeated, and k is the share
-of good rows among the labelled ones. The k-th largest key is found exactly by counting digits, without sorting rows.
+of good rows among the labelled ones plus a margin. The k-th largest key is found exactly by counting digits, without sorting rows.
 
 Defined results: a null or empty text has no n-grams and log weight 0, a neutral one; documents whose keys equal the k-th
 are all taken, so repeated rows go together; without good labelled rows all weights are 0; an empty table gives an empty
@@ -26,7 +26,9 @@ from lexforge.llm.arrow import blocks, map_texts
 from lexforge.llm.bagminhash import mix
 from lexforge.runtime import materialize
 
-BUCKETS, SHARPNESS, SMOOTHING = 10_000, 10.0, 1.0
+BUCKETS, SHARPNESS, SMOOTHING = 10_000, 30.0, 1.0
+#: Added to the share of good labels, so that an estimate that is a little low costs no good documents.
+MARGIN = 0.01
 TOKENS = re.compile(r"\w+|[^\w\s]+")
 _seen: dict[str, int] = {}
 
@@ -115,7 +117,7 @@ def resample(docs: DataFrame, sample: DataFrame, *, id_col: str = "doc_id", text
     shares = sample.agg(F.count("*").alias("n"), F.sum(F.when(F.col("label") == 1, 1).otherwise(0)).alias("good")).first()
     ratio = log_ratio(gram_counts(sample.filter("label = 1")), gram_counts(docs, text_col))
     rows = materialize(weigh(docs, ratio, id_col=id_col, text_col=text_col))
-    k = math.ceil(rows.count() * (shares["good"] / shares["n"])) if shares["n"] else 0
+    k = math.ceil(rows.count() * min(1.0, shares["good"] / shares["n"] + MARGIN)) if shares["good"] else 0
     least = kth_largest(rows, "key", k) if k else None
     selected = code_of(F.col("key")) >= F.lit(least).cast("long") if least is not None else F.lit(False)
     return rows.withColumn("selected", selected)
