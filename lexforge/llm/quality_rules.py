@@ -173,10 +173,17 @@ def quality(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
     return judged(rows, thresholds(rows)).withColumnRenamed("id", id_col).drop("lang", "source")
 
 
-def filter_quality(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
-    """The documents that are kept, with all their columns. Texts are measured twice rather than shuffled."""
+def filter_quality(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
+    """The documents that are kept, with all their columns.
+
+    Texts are measured once; the verdicts, by id, language, source and text, meet the documents in a join whose keys
+    hardly repeat, so that copies of one text don't land in one task.
+    """
     names = docs.columns
-    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("_doc"))
-    rows = packed.withColumns({"lang": F.col("_doc")[lang_col], "source": F.col("_doc")[source_col]})
-    rows = measured(rows, F.col("_doc")[text_col])
-    return judged(rows, thresholds(rows.drop("_doc"))).filter("kept").select("_doc.*")
+    parts = [F.sha2(F.coalesce(F.col(c).cast("string"), F.lit("\0")), 256) for c in (lang_col, source_col, text_col)]
+    key = F.substring(F.unhex(F.sha2(F.concat(*parts), 256)), 1, 16)
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("_doc"), F.xxhash64(F.col(id_col)).alias("a"), key.alias("b"))
+    rows = packed.select("a", "b", F.col("_doc")[lang_col].alias("lang"), F.col("_doc")[source_col].alias("source"), F.col("_doc")[text_col].alias("_text"))
+    rows = materialize(measured(rows, F.col("_text")).drop("_text"))
+    kept = judged(rows, thresholds(rows)).filter("kept").select("a", "b").distinct()
+    return packed.join(kept, ["a", "b"], "left_semi").select("_doc.*")
