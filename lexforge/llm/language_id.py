@@ -27,7 +27,7 @@ from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from lexforge.llm.arrow import map_texts
 
-SAMPLE_DOCS, MAX_WORDS, MAX_GRAMS, LONGEST = 20_000, 100_000, 100_000, 5
+SAMPLE_DOCS, MAX_WORDS, MAX_GRAMS, LONGEST = 20_000, 60_000, 60_000, 5
 UNKNOWN = "und"
 #: Runs of letters: word characters that are neither digits nor low lines.
 WORDS = re.compile(r"[^\W\d_]+")
@@ -132,7 +132,7 @@ def train(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", la
     counts = rows.mapInArrow(count, "kind string, lang string, key string, n bigint").groupBy("kind", "key", "lang").agg(F.sum("n").alias("n"))
     by_key = counts.groupBy("kind", "key").agg(F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by"), F.sum("n").alias("total")).cache()
     top = lambda kind, most: by_key.filter(F.col("kind") == kind).orderBy(F.desc("total"), "key").limit(most).collect()
-    docs_by = {r["lang"]: r["n"] for r in counts.filter("kind = 'd'").select("lang", "n").collect()}
+    docs_by = next((r["by"] for r in top("d", 1)), {})
     langs = sorted(docs_by)
     table = lambda found: {r["key"]: [r["by"].get(x, 0) for x in langs] for r in found}
     model = Model(langs, [docs_by[x] for x in langs], table(top("w", MAX_WORDS)), table(top("g", MAX_GRAMS)))
