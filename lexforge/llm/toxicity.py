@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexforge.llm.arrow import map_texts
+from lexforge.runtime import materialize
 
 WORDS = re.compile(r"\w+")
 #: Words of the model, by how far their log-odds is from 0; the prior's weight as a share of all counts.
@@ -120,7 +121,7 @@ def train(sample: DataFrame, *, max_words: int = MAX_WORDS) -> Model:
             part = words[s : s + 50_000]
             yield pa.RecordBatch.from_arrays([pa.array(part, pa.string()), *(pa.array([c[w] for w in part], pa.int64()) for c in counts)], ["word", "n0", "n1"])
 
-    counts = sample.mapInArrow(count, "word string, n0 bigint, n1 bigint").groupBy("word").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
+    counts = materialize(sample.mapInArrow(count, "word string, n0 bigint, n1 bigint").groupBy("word").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")))
     total = counts.agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).first()
     n0, n1 = total["n0"] or 0, total["n1"] or 0
     if not n0 or not n1:
