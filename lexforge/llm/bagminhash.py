@@ -23,7 +23,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexforge.llm.arrow import map_texts
@@ -219,9 +219,11 @@ def _rest_verified(members: DataFrame, texts: DataFrame, threshold: float, block
     A bucket is cut into blocks of about `block` members, and each pair of blocks is compared in one task, so a large
     bucket takes many tasks of bounded size, and no row is made for a pair that isn't a link.
     """
-    sizes = members.groupBy("bucket").agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
-    cut = members.join(sizes, "bucket").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    dealt = cut.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    # In the order of roots, most blocks of a large component have one root, and only those beside it are compared with them.
+    place = F.row_number().over(Window.partitionBy("bucket").orderBy("root", "node")) - 1
+    cut = members.withColumn("own", F.floor(place / block).cast("int"))
+    last = members.groupBy("bucket").agg((F.ceil(F.count("*") / block) - 1).cast("int").alias("last"))
+    dealt = cut.join(last, "bucket").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("last"))))
     dealt = dealt.select("bucket", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"), "node", "root")
     # A pair of blocks in which all have one root has nothing to compare.
     several = dealt.groupBy("bucket", "a", "b").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("bucket", "a", "b")
