@@ -290,7 +290,7 @@ def chain_names(spark, sf):
 
 
 @query(""", x as (select reading, lag(reading) over (partition by k order by i) lf from t), c as (select reading, lf, count(*) n from x group by all), s as (select reading, sum(n) tot from c group by reading having sum(n) >= 50)
-select reading, s.tot::BIGINT total, round(-sum(n / s.tot * log2(n / s.tot)), 6) entropy from c join s using (reading) group by all""", tokens=True)
+select reading, s.tot::BIGINT total, round(-sum(n / s.tot * log2(n / s.tot)), 6) + 0.0 entropy from c join s using (reading) group by all""", tokens=True)
 def side_entropy(spark, sf):
     x = tokens_of(spark, sf).withColumn("lf", F.lag("reading").over(units.in_order())).groupBy("reading", "lf").agg(F.count("*").alias("n"))
     return patterns.entropy(x, ["reading"]).filter("total >= 50").withColumn("entropy", F.round("entropy", 6))
@@ -304,11 +304,11 @@ def apart_share(spark, sf):
 
 
 @query(""", u as (select reading, count(*) n from t group by all), c as (select reading p1, lead(reading) over (partition by k order by i) p2 from t), p as (select p1, p2, count(*) n from c where p2 is not null group by all having count(*) >= 5)
-select p1, p2, p.n::BIGINT n, round(p.n / greatest(1, least(a.n, b.n)), 6) cohesion from p join u a on a.reading = p1 join u b on b.reading = p2""", tokens=True)
+select p1, p2, p.n::BIGINT n, round(p.n / greatest(1, least(a.n, b.n)), 9) cohesion from p join u a on a.reading = p1 join u b on b.reading = p2""", tokens=True)
 def cohesion(spark, sf):
     t = tokens_of(spark, sf)
     pairs = chains.chains(t, 2, 5).select("p1", "p2", "n")
-    return chains.cohesion(pairs, t.groupBy("reading").agg(F.count("*").alias("n"))).select("p1", "p2", "n", F.round("cohesion", 6).alias("cohesion"))
+    return chains.cohesion(pairs, t.groupBy("reading").agg(F.count("*").alias("n"))).select("p1", "p2", "n", F.round("cohesion", 9).alias("cohesion"))
 
 
 @query(""", c as (select k, i, i - row_number() over (partition by k order by i) g from t where regexp_matches(surface, '^\\p{Lu}')), r as (select k, g, min(i) s, max(i) + 1 e, count(*) n from c group by all)
