@@ -212,6 +212,18 @@ def test_credential_values_are_added_by_cost():
     assert kinds("pwd: password123") == [] and kinds("the pin is somethingordinary") == []
 
 
+def test_long_credential_values_are_whole():
+    r = random.Random(21)
+    value = "".join(r.choice("abcdefghijkmnpqrstuvwxyzABCDEFGHJKLMNPQRSTUVWXYZ23456789") for _ in range(300))
+    assert secrets.spans_of(f"private_key={value} end") == [("cred", 12, 312)] and secrets.redacted(f"private_key={value} end", "#") == "private_key=# end"
+    url = f"postgres://{'u' * 90}:{value}@db"
+    assert secrets.spans_of(url) == [("cred", 102, 402)] and secrets.redacted(url, "#") == f"postgres://{'u' * 90}:#@db"
+    assert secrets.guess_bits(value) > 1000 and secrets.guess_bits(value[:40], 40.0) >= 40
+    for long in ["x" * 200_000, "qw" * 100_000]:  # cheap, and in linear time
+        assert secrets.spans_of("private_key=" + long) == []
+    assert secrets.redacted("private_key=" + value * 2_000, "#") == "private_key=#"
+
+
 def test_secrets_on_odd_rows(spark):
     out = check_robust(spark, secrets.scan)
     assert out.filter("doc_id in (100, 101, 102)").filter("size(spans) > 0").count() == 0
