@@ -231,6 +231,17 @@ def test_usual_credential_contexts():
     assert found("AWS_SECRET_ACCESS_KEY=x7Kq/pZ2vR9wLm4T") == ["x7Kq/pZ2vR9wLm4T"] and found("the bearer password") == [] and found("compass: x7Kq-pZ2vR9w") == []
 
 
+def test_random_letters_are_costly_and_words_are_not(spark):
+    found = lambda t, ranks=None: [t[s:e] for k, s, e in secrets.spans_of(t, ranks) if k == "cred"]
+    assert found("pwd: qmxzkvbwtrplhsnd") == ["qmxzkvbwtrplhsnd"] and found("postgres://u:qmxzkvbwtrplhsnd@h") == ["qmxzkvbwtrplhsnd"]
+    assert found("the token is recommended") == [] and found("pwd: Something") == []
+    rows = [(i, f"wahrscheinlichkeit und {prose(i, 9)} pwd: qmxzkvbwtrplhsnd", "de", "s", 1) for i in range(9)] + [(9, "die pwd: Wahrscheinlichkeit", "de", "s", 1)]
+    ranks = secrets.word_ranks(frame(spark, rows))
+    assert "wahrscheinlichkeit" in ranks and "qmxzkvbwtrplhsnd" not in ranks and found("pwd: Wahrscheinlichkeit", ranks) == []
+    got = {r["doc_id"]: len(r["spans"]) for r in secrets.scan(frame(spark, rows)).collect()}
+    assert got == {**dict.fromkeys(range(9), 1), 9: 0}
+
+
 def test_secrets_on_odd_rows(spark):
     out = check_robust(spark, secrets.scan)
     assert out.filter("doc_id in (100, 101, 102)").filter("size(spans) > 0").count() == 0
