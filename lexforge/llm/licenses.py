@@ -56,7 +56,8 @@ NOTICES = {
     "all rights reserved": "proprietary",
 }
 TAG = "spdx license identifier"
-TAG_PATTERN = re.compile(r"SPDX-License-Identifier[ \t]*:[ \t]*([^\n\r*]{1,400})", re.I | re.A)
+#: What stands after a tag, up to the end of the line or the next tag.
+TAG_PATTERN = re.compile(r"SPDX-License-Identifier[ \t]*:[ \t]*((?:(?!SPDX-License-Identifier[ \t]*:)[^\n\r*])+)", re.I | re.A)
 #: How freely a text under a label may be used.
 FREEDOM = {
     "public-domain": 1.0, "cc0": 1.0, "mit": 0.95, "isc": 0.95, "bsd": 0.9, "bsd-2-clause": 0.9, "bsd-3-clause": 0.9, "bsl-1": 0.9, "apache-2": 0.9,
@@ -67,6 +68,7 @@ IDENTIFIERS = {
     "mit": "mit", "isc": "isc", "bsd-2-clause": "bsd-2-clause", "bsd-3-clause": "bsd-3-clause", "0bsd": "bsd", "bsd": "bsd", "apache-2": "apache-2", "bsl-1": "bsl-1", "mpl-2": "mpl-2",
     "epl-2": "epl-2", "lgpl": "lgpl", "agpl": "agpl", "gpl": "gpl", "cc0": "cc0", "cc-by-nc": "cc-by-nc", "cc-by-sa": "cc-by-sa", "cc-by-nd": "cc-by-nd", "cc-by": "cc-by", "unlicense": "public-domain",
 }
+LONGEST_IDENTIFIER = max(map(len, IDENTIFIERS))
 WITH_BONUS = 0.05
 _PRECEDENCE = {"or": 1, "and": 2, "with": 3}
 _TOKENS = re.compile(r"[()]|[A-Za-z0-9.+-]+|\S")
@@ -88,7 +90,7 @@ def automaton() -> ahocorasick.Automaton:
 def label_of(identifier: str) -> str | None:
     """The label of an SPDX identifier."""
     name = identifier.lower().rstrip("+.")
-    for length in range(len(name), 0, -1):
+    for length in range(min(len(name), LONGEST_IDENTIFIER), 0, -1):
         if (label := IDENTIFIERS.get(name[:length])) and (length == len(name) or not name[length].isalpha()):
             return label
     return None

@@ -271,6 +271,15 @@ def test_license_expressions():
     assert got["labels"] == ["gpl", "mit"] and got["score"] == 0.95 and got["starts"] == []
 
 
+def test_long_license_expressions_are_whole():
+    expression = " AND ".join(["MIT", "Apache-2.0"] * 23 + ["GPL-3.0-only"])
+    got = licenses.scan_text(f"# SPDX-License-Identifier: {expression}\nimport x")
+    assert len(expression) > 400 and got["labels"] == ["apache-2", "gpl", "mit"] and got["score"] == licenses.FREEDOM["gpl"] and got["expressions"] == [expression]
+    line = "SPDX-License-Identifier: MIT " + "x" * 500 + " SPDX-License-Identifier: GPL-2.0"  # the rest of a line doesn't hide its next tag
+    assert licenses.scan_text(line)["labels"] == ["gpl", "mit"]
+    assert licenses.scan_text("SPDX-License-Identifier: " + "(" * 50_000 + "MIT" + ")" * 50_000)["labels"] == ["mit"]
+
+
 def test_licenses_on_odd_rows(spark):
     check_robust(spark, licenses.scan)
 
