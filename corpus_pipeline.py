@@ -30,10 +30,9 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the smallest doc_id of each class of near-duplicates, once."""
-    first = bagminhash.near_duplicates(docs).filter("doc_id = class").select(F.col("doc_id").alias("_id"), F.col("node").alias("_node")).distinct()
-    kept = docs.join(first, docs["doc_id"] == first["_id"]).filter(bagminhash.node_of(docs["text"]) == F.col("_node"))
-    return kept.dropDuplicates(["_id", "_node"]).select(*docs.columns)
+    """Keep the document with the smallest doc_id of each class of near-duplicates, once; one without an id if none of the class has one."""
+    heads = bagminhash.near_duplicates(docs).filter("node = head").select(F.col("class").alias("least"), "node").distinct()
+    return bagminhash.rows_of(docs, heads).select(*docs.columns)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

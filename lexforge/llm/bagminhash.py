@@ -15,7 +15,7 @@ blocks of bounded size, so that no link inside a bucket is lost. Each comparison
 
 Defined results: a null text counts as empty; equal texts are always in one class, empty ones too; texts of fewer than
 five words are one shingle; a text without words has no shingles and links only to its exact copies; repeated rows get
-the same class; the class is the smallest doc_id in it; an empty table gives an empty result; other columns are not read.
+the same class; the class is the smallest doc_id in it, and null if none of its rows has an id (`head` still tells such classes apart); an empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -236,8 +236,18 @@ def _rest_verified(members: DataFrame, texts: DataFrame, threshold: float, block
     return rows.groupBy("bucket", "a", "b").applyInArrow(compare, "u binary, v binary")
 
 
+def rows_of(docs: DataFrame, wanted: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of the documents, with its content key `_node`, for each (least, node) of `wanted`: the least id of a text, null if it has none."""
+    known = wanted.filter("least is not null").select(F.col("least").alias("_least"), F.col("node").alias("_node"))
+    known = docs.join(known, docs[id_col] == F.col("_least")).filter(node_of(F.col(text_col)) == F.col("_node")).dropDuplicates(["_node"])
+    # Copies without an id are combined before the shuffle.
+    other = docs.filter(docs[id_col].isNull()).withColumn("_node", node_of(F.col(text_col))).dropDuplicates(["_node"])
+    other = other.join(wanted.filter("least is null").select(F.col("node").alias("_node")), "_node", "left_semi")
+    return known.select(*docs.columns, "_node").union(other.select(*docs.columns, "_node"))
+
+
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """(id, node, class): the content key of each row and the smallest id of its class of near-duplicates."""
+    """(id, node, class, head): the content key of each row, the smallest id of its class of near-duplicates, and the content key of the text with that id."""
     signed = materialize(_signed(docs, id_col, text_col, bands, rows))
     # Exact copies are one node from here on; a group of copies is combined before the shuffle.
     nodes = materialize(signed.groupBy("node").agg(F.min(id_col).alias("least"), F.any_value("size").alias("size"), F.any_value("bands").alias("bands")))
@@ -251,9 +261,8 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     members = materialize(members.join(leaders, "bucket").select("bucket", "node", "size", F.col("leader.node").alias("leader"), F.col("leader.size").alias("other")))
     similar = F.least("size", "other") >= threshold * F.greatest("size", "other")
     first = materialize(members.filter("node <> leader").filter(similar).select(F.col("leader").alias("u"), F.col("node").alias("v")).distinct())
-    wanted = members.select("node").distinct().join(nodes, "node").select(F.col("least").alias(id_col), "node")
-    texts = docs.select(id_col, F.coalesce(text_col, F.lit("")).alias("text")).join(wanted, id_col)
-    texts = texts.filter(node_of(F.col("text")) == F.col("node")).dropDuplicates([id_col, "node"]).select("node", "text")
+    wanted = members.select("node").distinct().join(nodes, "node").select("least", "node")
+    texts = rows_of(docs.select(id_col, F.coalesce(text_col, F.lit("")).alias("text")), wanted, id_col=id_col).select(F.col("_node").alias("node"), "text")
     links = materialize(_verified(first, texts, threshold))
     roots = materialize(components(links))
     # Members of a bucket that the leader has not brought into one component are compared with those of the others.
@@ -265,6 +274,6 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         if not more.isEmpty():
             roots = materialize(components(links.union(more)))
     classes = nodes.select("node", "least").join(roots, "node", "left").select("node", "least", F.coalesce("root", "node").alias("root"))
-    heads = classes.groupBy("root").agg(F.min("least").alias("class"))
-    named = classes.join(heads, "root").select("node", "class")
-    return signed.select(id_col, "node").join(named, "node").select(F.col(id_col), "node", "class")
+    heads = classes.groupBy("root").agg(F.min(F.struct(F.col("least").isNull().alias("unknown"), "least", "node")).alias("head"))
+    named = classes.join(heads, "root").select("node", F.col("head.least").alias("class"), F.col("head.node").alias("head"))
+    return signed.select(id_col, "node").join(named, "node").select(F.col(id_col), "node", "class", "head")

@@ -476,6 +476,12 @@ def test_near_duplicates_on_odd_rows(spark):
     assert got[103] == 103 and got[104] == 103 and got[100] == got[101] == 100 and got[102] == 102
 
 
+def test_near_duplicates_without_an_id_keep_their_links(spark):
+    rows = [(7, prose(1, 150), "en", "s", 1), (None, prose(1, 150) + " changed", "en", "s", 1), (None, prose(2, 150), "en", "s", 1), (None, prose(2, 150) + " changed", "en", "s", 1), (None, "alone", "en", "s", 1)]
+    out = bagminhash.near_duplicates(frame(spark, rows)).collect()
+    assert sorted(str(r["class"]) for r in out) == ["7", "7", "None", "None", "None"] and len({bytes(r["head"]) for r in out}) == 3
+
+
 # ---- 9: language ID --------------------------------------------------------------------------------------------------
 
 

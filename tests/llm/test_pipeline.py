@@ -35,6 +35,15 @@ def test_near_dedup_keeps_one_of_each_class(spark):
     assert len(kept) == len(set(classes)) and len({r["doc_id"] for r in kept}) == len(kept)
 
 
+def test_near_dedup_keeps_documents_without_an_id(spark):
+    near = lambda i: prose(i, 150) + " changed"
+    rows = [(1, prose(1, 150), "en", "s", 1), (None, near(1), "en", "s", 1), (None, near(1), "en", "s", 1), (None, prose(2, 150), "en", "s", 1), (None, near(2), "en", "s", 1)]
+    rows += [(None, None, "en", "s", 1), (None, "no id here", "en", "s", 1), (3, prose(3, 150), "en", "s", 1), (3, near(3), "en", "s", 1)]
+    kept = [(r["doc_id"], r["text"]) for r in corpus_pipeline.near_dedup(spark, frame(spark, rows), "").collect()]
+    assert len(kept) == 5 and kept.count((1, prose(1, 150))) == kept.count((None, None)) == kept.count((None, "no id here")) == 1
+    assert sum(i is None and t in (prose(2, 150), near(2)) for i, t in kept) == 1 and sum(i == 3 for i, _ in kept) == 1
+
+
 def test_language_stage_drops_what_has_no_language(spark):
     rows = language_rows() + [(1000, "1234", "en", "s", 1), (1001, None, "en", "s", 1)]
     out = corpus_pipeline.language(spark, frame(spark, rows), "").collect()
