@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from lexforge.llm import bagminhash, bpe, importance, language_id, licenses, packing, quality_rules, secrets, spotsigs, toxicity
 from lexforge.llm.labelled import labelled_sample
+from lexforge.llm.oracle import ORACLE
 from lexforge.runtime import table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -127,4 +128,4 @@ _ALL = (
     op10_spotsigs,
 )
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in _ALL}
-ORACLE: dict[str, str] = {}
+__all__ = ["ORACLE", "QUERIES"]

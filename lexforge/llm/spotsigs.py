@@ -2,23 +2,25 @@
 
 Words are runs of letters and digits in lower case. A signature is a common word (the nearest, if several stand in a row) with the
 `CHAIN` content words after it, other common words skipped; it doesn't change when boilerplate without running prose does.
-A text in which no common word stands takes a chain at each word. A fingerprint is the set of its signatures as sorted
-32-bit hashes in hexadecimal, and the likeness of two is the Jaccard similarity of the sets. `similar` finds all pairs of at least
+A text in which no common word stands takes a chain at each word. A fingerprint is the set of its signatures, sorted,
+and the likeness of two is the Jaccard similarity of the sets. `similar` finds all pairs of at least
 a threshold: sets are partitioned by length so that only neighbouring partitions can reach it, joined on the rarest signatures of each
 set, pruned by length, and compared in full.
 
 Only DataFrame functions are used. Defined results: a null text counts as empty; a text without words has no signatures
 and the likeness of two such texts is 1 if the texts are equal, else 0; the next document of the last one is the first; of
-documents with the same id, the one with the smaller text comes first, and null ids come first of all; repeated rows are
-each other's next; an empty table gives an empty result; other columns are not read.
+documents with the same id, the one with the smaller text comes first, and null ids come first of all, in the order of their texts'
+xxhash64; ids may be numbers or strings; repeated rows are each other's next; an empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
 
 import math
+from os.path import commonprefix
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType, StringType
 
 from lexforge.runtime import materialize
 
@@ -29,12 +31,12 @@ das dem den der des die ein eine für im ist mit nicht und von zu auf als
 au avec dans de du en est et la le les par pas pour que qui sur un une ou
 al con del el es lo los las no para por se su una y""".split()
 MARK = "\x01"
-#: Blocks of the id order; the driver holds one id for each.
-BLOCKS = 1024
+#: Rows of the id order that a block holds, about, once there are more blocks than a few for each shuffle partition.
+BLOCK_ROWS = 100_000
 
 
 def signatures(text: Column) -> Column:
-    """The sorted distinct 32-bit signature hashes of a text."""
+    """The sorted distinct signatures of a text: the first 8 hexadecimal digits of the MD5 of each chain."""
     words = F.concat(F.lit(" "), F.trim(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), "[^\\p{L}\\p{N}]+", " ")), F.lit(" "))
     # A common word and the space after it become the word and a mark, so that each content word carries those before it.
     marked = F.regexp_replace(words, f"(?<= )({'|'.join(dict.fromkeys(ANCHORS))}) ", f"$1{MARK}")
@@ -45,7 +47,7 @@ def signatures(text: Column) -> Column:
         anchored = F.exists(tokens, lambda x: x.contains(MARK))
         pick = F.transform(tokens, lambda x, i: F.when(x.contains(MARK) | ~anchored, i))
         heads = F.transform(tokens, lambda x: F.substring_index(x, MARK, -2))
-        chain = lambda p, h, i: F.hash(F.get(h, i), *[F.coalesce(F.get(p, i + k), F.lit("")) for k in range(1, CHAIN)])
+        chain = lambda p, h, i: F.substring(F.md5(F.concat_ws(" ", F.get(h, i), *[F.coalesce(F.get(p, i + k), F.lit("")) for k in range(1, CHAIN)])), 1, 8)
         bound = F.struct(plain.alias("p"), heads.alias("h"), F.filter(pick, lambda i: i.isNotNull()).alias("i"))
         return F.get(F.transform(F.array(bound), lambda b: F.array_sort(F.array_distinct(F.transform(b["i"], lambda i: chain(b["p"], b["h"], i))))), F.lit(0))
 
@@ -53,8 +55,8 @@ def signatures(text: Column) -> Column:
 
 
 def fingerprint(signatures: Column) -> Column:
-    """A set of signatures as text: 8 hexadecimal digits each, in order."""
-    return F.array_join(F.transform(signatures, lambda x: F.lpad(F.hex(x.cast("long").bitwiseAND(F.lit(0xFFFFFFFF))), 8, "0")), "")
+    """A set of signatures as text, in order."""
+    return F.array_join(signatures, "")
 
 
 def jaccard(a: Column, b: Column) -> Column:
@@ -64,42 +66,63 @@ def jaccard(a: Column, b: Column) -> Column:
     return F.when(F.greatest(F.size(a), F.size(b)) == 0, None).when(least == 0, 0.0).otherwise(shared / (F.size(a) + F.size(b) - shared))
 
 
-def with_next(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", blocks: int = BLOCKS) -> DataFrame:
+def _order_key(docs: DataFrame, id_col: str) -> Column:
+    """A number that rises with the id (null for null): integers as they are, other numbers as doubles, and of strings the 7 bytes after what all ids start with."""
+    kind, own = docs.schema[id_col].dataType, F.col(id_col)
+    if isinstance(kind, IntegralType):
+        return own.cast("long")
+    if not isinstance(kind, StringType):
+        return own.cast("double")
+    ends = docs.agg(F.min(own).alias("a"), F.max(own).alias("b")).first()
+    shared = len(commonprefix([(ends["a"] or "").encode(), (ends["b"] or "").encode()]))
+    return F.conv(F.rpad(F.hex(F.substring(F.encode(own, "UTF-8"), shared + 1, 7)), 14, "0"), 16, 10).cast("long")
+
+
+def _count_at_most(cuts: list, key: Column, kind: str) -> Column:
+    """How many of the ascending cuts are at or below a key, by halving; the cuts are one folded literal, so the expression's size is that of their number."""
+    cut = F.split(F.lit(",".join(map(str, cuts))), ",").cast(f"array<{kind}>")
+    steps = F.array(*[F.lit(1 << k) for k in reversed(range(len(cuts).bit_length()))])
+    # A place beyond the last cut gives null, which isn't at or below anything.
+    return F.aggregate(steps, F.lit(0), lambda at, step: at + F.when(F.get(cut, at + step - 1) <= key, step).otherwise(0))
+
+
+def with_next(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", blocks: int | None = None) -> DataFrame:
     """(id, text, next_text): the text of the next document by id, null texts as empty.
 
-    Ids are cut into blocks at quantiles. The first document of a block is also dealt to the block before it, and the
-    first of all to the last block, so each block finds its rows' next ones alone.
+    Ids are cut into blocks at quantiles, rows without an id by the hash that orders them; there are a few blocks for each
+    shuffle partition, and more once a block would hold over `BLOCK_ROWS` rows. The first document of a block is also
+    dealt to the block before it, and the first of all to the last block, so each block finds its rows' next ones alone and texts are
+    shuffled once.
     """
-    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("text"))
-    key = F.coalesce(F.col("id").cast("long"), F.lit(-(2**63)))
-    cuts = rows.agg(F.percentile_approx(key, F.array(*[F.lit(i / blocks) for i in range(1, blocks)]), 10_000).alias("q")).first()["q"] or []
-    cuts = sorted(set(cuts))
-    cut = F.array(*[F.lit(c).cast("long") for c in cuts]) if cuts else F.array().cast("array<bigint>")
-
-    def search(k: Column) -> Column:
-        """The number of cuts at or below a key, by halving."""
-        at = F.lit(0)
-        step = 1 << max(len(cuts).bit_length() - 1, 0)
-        while step:
-            there = F.get(cut, at + (step - 1))
-            at = at + F.when(there <= k, step).otherwise(0)
-            step >>= 1
-        return at
-
-    rows = rows.withColumn("key", key)
-    blocked = rows.withColumn("block", search(F.col("key")))
-    firsts = blocked.groupBy("block").agg(F.min("key").alias("first")).orderBy("block").collect()  # a row for each block
-    if not firsts:
+    spark = docs.sparkSession
+    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("text"), _order_key(docs, id_col).alias("key"))
+    kind = dict(rows.dtypes)["key"]
+    size = rows.agg(F.count("*").alias("n"), F.count("key").alias("known")).first()
+    if not size["n"]:
         return rows.select(F.col("id").alias(id_col), "text", F.col("text").alias("next_text"))
-    before = {r["first"]: (firsts[i - 1]["block"] if i else firsts[-1]["block"]) for i, r in enumerate(firsts)}
-    ghosts = F.create_map(*[x for k, v in before.items() for x in (F.lit(k).cast("long"), F.lit(v))])
-    first_of_all = F.lit(firsts[0]["first"]).cast("long")
+    wanted = lambda n: min(n, blocks or max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n // BLOCK_ROWS)))
+    unknown, known = wanted(size["n"] - size["known"]), wanted(size["known"])
+    cuts = []
+    if known > 1:
+        shares = F.split(F.lit(",".join(str(i / known) for i in range(1, known))), ",").cast("array<double>")
+        cuts = rows.agg(F.percentile_approx("key", shares, max(10_000, 4 * known)).alias("q")).first()["q"]
+    cuts = sorted(set(cuts))
+    by_hash = F.floor((F.col("hash") / F.lit(2.0**64) + 0.5) * unknown).cast("int")
+    by_key = F.lit(unknown) + (_count_at_most(cuts, F.col("key"), kind) if cuts else F.lit(0))
+    rows = rows.withColumn("hash", F.when(F.col("key").isNull(), F.xxhash64("text")).otherwise(0))
+    blocked = rows.withColumn("block", F.when(F.col("key").isNull(), F.least(by_hash, F.lit(unknown - 1))).otherwise(by_key))
+    # A row for each block that has any: the order of its first document, and the block before it (of the first one, the last).
+    firsts = blocked.groupBy("block").agg(F.min(F.struct("key", "hash")).alias("first"))
+    firsts = sorted((r["block"], r["first"]["key"], r["first"]["hash"]) for r in firsts.collect())
+    before = [(key, h, firsts[i - 1][0] if i else firsts[-1][0], int(i == 0)) for i, (_, key, h) in enumerate(firsts)]
+    handed = spark.createDataFrame(before, f"f_key {kind}, f_hash long, f_block int, f_late int")
+    same = F.col("key").eqNullSafe(F.col("f_key")) & (F.col("hash") == F.col("f_hash"))
+    met = blocked.join(F.broadcast(handed), same, "left")
     own = F.struct(F.col("block"), F.lit(0).alias("late"), F.lit(False).alias("ghost"))
-    also = F.struct(F.get(F.map_values(ghosts), F.array_position(F.map_keys(ghosts), F.col("key")) - 1).cast("int").alias("block"), (F.col("key") == first_of_all).cast("int").alias("late"), F.lit(True).alias("ghost"))
-    is_first = F.array_contains(F.map_keys(ghosts), F.col("key"))
-    dealt = blocked.select("id", "text", "key", F.explode(F.when(is_first, F.array(own, also)).otherwise(F.array(own))).alias("to"))
-    dealt = dealt.select("id", "text", "key", "to.block", "to.late", "to.ghost")
-    order = Window.partitionBy("block").orderBy("late", "key", "text")
+    also = F.struct(F.col("f_block").alias("block"), F.col("f_late").alias("late"), F.lit(True).alias("ghost"))
+    dealt = met.select("id", "text", "key", "hash", F.explode(F.when(F.col("f_block").isNull(), F.array(own)).otherwise(F.array(own, also))).alias("to"))
+    dealt = dealt.select("id", "text", "key", "hash", "to.block", "to.late", "to.ghost")
+    order = Window.partitionBy("block").orderBy("late", "key", "id", "hash", "text")
     return dealt.withColumn("next_text", F.lead("text").over(order)).filter("not ghost").select(F.col("id").alias(id_col), "text", F.coalesce("next_text", "text").alias("next_text"))
 
 

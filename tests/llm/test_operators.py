@@ -536,17 +536,46 @@ def test_spot_signatures_as_defined(spark):
         assert len(r["s"]) == len(spots(r["text"])) and r["s"] == sorted(r["s"]) and len(r["f"]) == 8 * len(r["s"])
 
 
+def check_next(spark, rows, schema=None, **more):
+    """Every document's next and edited text, by the definition."""
+    docs = frame(spark, rows) if schema is None else spark.createDataFrame([r[:2] for r in rows], schema)
+    out = spotsigs.with_next(docs, **more).withColumn("e", spotsigs.edited(F.col("text"), F.col("next_text"))).collect()
+    order = sorted((r[0], r[1] or "") for r in rows)
+    assert sorted((r["doc_id"], r["text"]) for r in out) == order
+    following = {order[i]: order[(i + 1) % len(order)][1] for i in range(len(order))}
+    for r in out:
+        half = len(r["text"]) // 2
+        assert r["next_text"] == following[r["doc_id"], r["text"]] and r["e"] == r["text"][: len(r["text"]) - half] + r["next_text"][:half]
+
+
 def test_next_and_edited_texts(spark):
     rows = [(i * 7 % 101, prose(i, 5 + i % 40) if i % 9 else ("" if i % 2 else None), "en", "s", 1) for i in range(101)] + [(-5, "first of all é😀x", "en", "s", 1)]
-    for blocks in (4, 64):
-        out = spotsigs.with_next(frame(spark, rows), blocks=blocks).withColumn("e", spotsigs.edited(F.col("text"), F.col("next_text"))).collect()
-        text = {i: t or "" for i, t, *_ in rows}
-        ids = sorted(text)
-        assert len(out) == len(rows)
-        for r in out:
-            following = text[ids[(ids.index(r["doc_id"]) + 1) % len(ids)]]
-            half = len(text[r["doc_id"]]) // 2
-            assert r["next_text"] == following and r["e"] == r["text"][: len(r["text"]) - half] + following[:half]
+    for blocks in (1, 4, 64, None):
+        check_next(spark, rows, blocks=blocks)
+
+
+@pytest.mark.parametrize("n", [1, 2, 1023, 1024])
+def test_next_texts_of_any_number_of_ids(spark, n):
+    check_next(spark, [(i * i, f"text {i} é", "en", "s", 1) for i in range(n)], blocks=1024)
+    check_next(spark, [(i * i, f"text {i} é", "en", "s", 1) for i in range(n)])
+
+
+def test_next_texts_by_string_and_decimal_ids(spark):
+    names = [f"https://a.example/{'x' * (i % 11)}/{i}" for i in range(90)] + ["", "z", "é"]
+    check_next(spark, [(n, f"text of {n}") for n in names], "doc_id string, text string", blocks=16)
+    check_next(spark, [(f"same/long/prefix/{i:03}", f"text {i}") for i in range(60)], "doc_id string, text string", blocks=16)
+    check_next(spark, [(i / 7, f"text {i}") for i in range(60)], "doc_id double, text string", blocks=16)
+
+
+def test_next_texts_without_ids_and_of_repeated_rows(spark):
+    rows = [(None, f"no id {i % 40}", "en", "s", 1) for i in range(80)] + [(i % 5, f"same id {i}", "en", "s", 1) for i in range(30)] + [(7, "twice", "en", "s", 1)] * 2
+    out = spotsigs.with_next(frame(spark, rows), blocks=16).collect()
+    assert sorted((str(r["doc_id"]), r["text"]) for r in out) == sorted((str(r[0]), r[1]) for r in rows)
+    # The next texts are those of all rows, moved by one place in the order, and rows without an id come before those with one.
+    assert sorted(r["next_text"] for r in out) == sorted(r["text"] for r in out)
+    assert sum(r["doc_id"] is None and not r["next_text"].startswith("no id") for r in out) == 1
+    known = sorted((r for r in out if r["doc_id"] is not None), key=lambda r: (r["doc_id"], r["text"]))
+    assert all(a["next_text"] == b["text"] for a, b in zip(known, known[1:]))
 
 
 def test_similar_pairs_as_brute_force(spark):
