@@ -97,11 +97,10 @@ def op7_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = spotsigs.with_next(table(spark, sf_dir, "documents"))
-    rows = rows.withColumn("edited", spotsigs.edited(F.col("text"), F.col("next_text")))
-    sets = {"s": "text", "e": "edited", "n": "next_text"}
-    # A text's own set serves as well for the document before it, but meeting it there would shuffle sets instead of texts.
-    rows = rows.withColumns({k: spotsigs.signatures(F.col(v)) for k, v in sets.items()})
+    # A text's own set serves as well for the document before it.
+    rows = spotsigs.with_next(table(spark, sf_dir, "documents"), also={"s": spotsigs.signatures})
+    rows = rows.withColumn("edited", spotsigs.edited(F.col("text"), F.col("next_text"))).withColumn("e", spotsigs.signatures(F.col("edited")))
+    sets = {"e": "edited", "next_s": "next_text"}
     same = lambda v: F.when(F.col("text") == F.col(v), 1.0).otherwise(0.0)
     likeness = lambda k: F.coalesce(spotsigs.jaccard(F.col("s"), F.col(k)), same(sets[k]))
     return rows.select(
@@ -111,7 +110,7 @@ def op10_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
         spotsigs.fingerprint(F.col("s")).alias("fingerprint"),
         spotsigs.fingerprint(F.col("e")).alias("edited_fingerprint"),
         likeness("e").alias("near_edited"),
-        likeness("n").alias("near_next"),
+        likeness("next_s").alias("near_next"),
     )
 
 

@@ -16,6 +16,7 @@ xxhash64; ids may be numbers or strings; repeated rows are each other's next; an
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from os.path import commonprefix
 
 from pyspark.sql import Column, DataFrame, Window
@@ -35,11 +36,20 @@ MARK = "\x01"
 BLOCK_ROWS = 100_000
 
 
+def _one_of(words: list[str]) -> str:
+    """A pattern of any of the words, by their first characters, so that other words are left at once."""
+    heads: dict[str, list[str]] = {}
+    for w in words:
+        heads.setdefault(w[:1], []).append(w[1:])
+    parts = [head + _one_of(tails) for head, tails in heads.items() if head]
+    return f"(?:{'|'.join(parts)}){'?' if '' in heads else ''}" if parts else ""
+
+
 def signatures(text: Column) -> Column:
     """The sorted distinct signatures of a text: the first 8 hexadecimal digits of the MD5 of each chain."""
     words = F.concat(F.lit(" "), F.trim(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), "[^\\p{L}\\p{N}]+", " ")), F.lit(" "))
     # A common word and the space after it become the word and a mark, so that each content word carries those before it.
-    marked = F.regexp_replace(words, f"(?<= )({'|'.join(dict.fromkeys(ANCHORS))}) ", f"$1{MARK}")
+    marked = F.regexp_replace(words, f"(?<= )({_one_of(list(dict.fromkeys(ANCHORS)))}) ", f"$1{MARK}")
     spots = F.filter(F.split(marked, " "), lambda x: (F.length(x) > 0) & ~x.endswith(MARK))
 
     def chains(tokens: Column) -> Column:
@@ -86,8 +96,8 @@ def _count_at_most(cuts: list, key: Column, kind: str) -> Column:
     return F.aggregate(steps, F.lit(0), lambda at, step: at + F.when(F.get(cut, at + step - 1) <= key, step).otherwise(0))
 
 
-def with_next(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", blocks: int | None = None) -> DataFrame:
-    """(id, text, next_text): the text of the next document by id, null texts as empty.
+def with_next(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", also: dict[str, Callable[[Column], Column]] | None = None, blocks: int | None = None) -> DataFrame:
+    """(id, text, next_text): the text of the next document by id, null texts as empty; for each of `also`, what it makes of both texts, as name and next_name.
 
     Ids are cut into blocks at quantiles, rows without an id by the hash that orders them; there are a few blocks for each
     shuffle partition, and more once a block would hold over `BLOCK_ROWS` rows. The first document of a block is also
@@ -99,7 +109,7 @@ def with_next(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
     kind = dict(rows.dtypes)["key"]
     size = rows.agg(F.count("*").alias("n"), F.count("key").alias("known")).first()
     if not size["n"]:
-        return rows.select(F.col("id").alias(id_col), "text", F.col("text").alias("next_text"))
+        return rows.select(F.col("id").alias(id_col), "text", F.col("text").alias("next_text"), *[make(F.col("text")).alias(p + k) for k, make in (also or {}).items() for p in ("", "next_")])
     wanted = lambda n: min(n, blocks or max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n // BLOCK_ROWS)))
     unknown, known = wanted(size["n"] - size["known"]), wanted(size["known"])
     cuts = []
@@ -116,14 +126,19 @@ def with_next(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text"
     firsts = sorted((r["block"], r["first"]["key"], r["first"]["hash"]) for r in firsts.collect())
     before = [(key, h, firsts[i - 1][0] if i else firsts[-1][0], int(i == 0)) for i, (_, key, h) in enumerate(firsts)]
     handed = spark.createDataFrame(before, f"f_key {kind}, f_hash long, f_block int, f_late int")
+    blocked = blocked.withColumns({k: make(F.col("text")) for k, make in (also or {}).items()})
+    carried = ["id", "text", *(also or {}), "key", "hash"]
     same = F.col("key").eqNullSafe(F.col("f_key")) & (F.col("hash") == F.col("f_hash"))
     met = blocked.join(F.broadcast(handed), same, "left")
     own = F.struct(F.col("block"), F.lit(0).alias("late"), F.lit(False).alias("ghost"))
-    also = F.struct(F.col("f_block").alias("block"), F.col("f_late").alias("late"), F.lit(True).alias("ghost"))
-    dealt = met.select("id", "text", "key", "hash", F.explode(F.when(F.col("f_block").isNull(), F.array(own)).otherwise(F.array(own, also))).alias("to"))
-    dealt = dealt.select("id", "text", "key", "hash", "to.block", "to.late", "to.ghost")
+    ghost = F.struct(F.col("f_block").alias("block"), F.col("f_late").alias("late"), F.lit(True).alias("ghost"))
+    dealt = met.select(*carried, F.explode(F.when(F.col("f_block").isNull(), F.array(own)).otherwise(F.array(own, ghost))).alias("to"))
+    dealt = dealt.select(*carried, "to.block", "to.late", "to.ghost")
     order = Window.partitionBy("block").orderBy("late", "key", "id", "hash", "text")
-    return dealt.withColumn("next_text", F.lead("text").over(order)).filter("not ghost").select(F.col("id").alias(id_col), "text", F.coalesce("next_text", "text").alias("next_text"))
+    # The last of all, if it is alone, has itself as next one.
+    following = {f"next_{k}": F.coalesce(F.lead(k).over(order), k) for k in ("text", *(also or {}))}
+    out = dealt.withColumns(following).filter("not ghost")
+    return out.select(F.col("id").alias(id_col), "text", "next_text", *[p + k for k in also or {} for p in ("", "next_")])
 
 
 def edited(text: Column, following: Column) -> Column:
