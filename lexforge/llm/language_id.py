@@ -1,13 +1,16 @@
 """Language identification by words first, then by ever shorter character n-grams.
 
 Training counts the words and the character n-grams (5 to 1, with word edges) of labelled documents by language, from a
-bounded sample: the `SAMPLE_DOCS` rows with the smallest hash of their id, none of which is held out. The model keeps
-the `MAX_WORDS` most frequent words and `MAX_GRAMS` n-grams. A known word adds its log frequency in each language. An
+bounded sample: about `SAMPLE_DOCS` rows by a hash of their id, dealt out evenly among the languages so that a small one keeps all it
+has, none of them held out. Every word and n-gram of the sample is in the model. A known word adds its log frequency in each language. An
 unseen word is covered from left to right: at each place the longest known n-gram, of five characters at most, adds
 its log frequency, and a character without any is skipped. Frequencies are smoothed, and a language's total is the same for
 words and n-grams of one length, so the sums are log likelihoods. The score is the normalised likelihood of the best
 language, per square root of the number of words, which keeps long texts from being all equally certain.
 
+The model is a sorted table of 64-bit hashes with the languages and log frequencies of each, a few bytes for each that the sample
+holds; it's counted on the executors, comes to the driver as Arrow columns and is sent to all of them.
+
 Defined results: a null text, or one without a letter, is `und` with score 0; letters without any known n-gram get
 the most frequent language with its share as score; ties go to the smallest name; repeated rows are predicted alike; an empty
 table gives an empty result; without any labelled row every document is `und`; other columns are not read.
@@ -21,16 +24,25 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from lexforge.llm.arrow import map_texts
+from lexforge.runtime import materialize
 
-SAMPLE_DOCS, MAX_WORDS, MAX_GRAMS, LONGEST = 20_000, 60_000, 60_000, 5
+SAMPLE_DOCS, LONGEST = 20_000, 5
 UNKNOWN = "und"
-#: Runs of letters: word characters that are neither digits nor low lines.
-WORDS = re.compile(r"[^\W\d_]+")
+SMOOTHING = 0.1
+#: The kind of a count: a document, an n-gram by its length, or a word. It's also the seed of the key's hash.
+DOCUMENT, WORD = 0, LONGEST + 1
+#: Numbers that a remembered word's row may take, for all rows; forgetting costs time only.
+REMEMBERED = 4_000_000
+#: Word characters that are neither letters nor digits: fractions, superscripts, circled and Roman numbers.
+_NUMBERS = "".join(c for c in map(chr, range(0x80, 0x20000)) if c.isnumeric() and not c.isdecimal() and not c.isalpha())
+#: Runs of letters.
+WORDS = re.compile(f"[^\\W\\d_{_NUMBERS}]+")
 
 
 def held_out(id_col: str) -> Column:
@@ -38,115 +50,175 @@ def held_out(id_col: str) -> Column:
     return F.crc32(F.encode(F.col(id_col).cast("string"), "UTF-8")) % 5 == 0
 
 
-def grams_of(word: str) -> list[str]:
-    """All n-grams of a word with its edges."""
-    edged = f"<{word}>"
-    return [edged[i : i + n] for n in range(1, LONGEST + 1) for i in range(len(edged) - n + 1)]
+def key_of(text: str, kind: int) -> int:
+    """The 64-bit hash of a word or an n-gram."""
+    return xxhash.xxh3_64_intdigest(text, seed=kind)
 
 
 class Model:
-    """Rows of log frequencies, one column for each language."""
+    """Log frequencies by language of hashed words and n-grams, as a base for each language and what a key adds to it."""
 
-    def __init__(self, langs: list[str], docs: list[int], words: dict[str, list[int]], grams: dict[str, list[int]]):
+    def __init__(self, langs: list[str], docs: list[int], kinds: np.ndarray, keys: np.ndarray, lang: np.ndarray, n: np.ndarray):
+        """`docs` counts the documents of each language; the arrays hold one count for each kind, key and language."""
         self.langs = langs
         self.share = np.array(docs, float) / max(1, sum(docs))
-        rows, self.word_row, self.gram_row = [], {}, {}
-
-        def log_rows(counts: dict[str, list[int]], into: dict[str, int], kind) -> None:
-            totals: dict[int, np.ndarray] = {}
-            for key, n in counts.items():
-                totals[kind(key)] = totals.get(kind(key), np.zeros(len(langs))) + np.array(n, float)
-            for key, n in counts.items():
-                into[key] = len(rows)
-                rows.append(np.log((np.array(n, float) + 0.1) / (totals[kind(key)] + 0.1 * len(counts))))
-
-        log_rows(words, self.word_row, lambda _: 0)
-        log_rows(grams, self.gram_row, len)
-        self.rows = np.array(rows) if rows else np.zeros((0, len(langs)))
-        self.recent: dict[str, np.ndarray | None] = {}
-
-    def backoff(self, word: str) -> np.ndarray | None:
-        """The sum over the longest known n-grams that cover a word, on the scale of one word."""
-        edged, i, total, n = f"<{word}>", 0, np.zeros(len(self.langs)), 0
-        while i < len(edged):
-            for length in range(min(LONGEST, len(edged) - i), 0, -1):
-                if (row := self.gram_row.get(edged[i : i + length])) is not None:
-                    total, n, i = total + self.rows[row], n + 1, i + length
-                    break
-            else:
-                i += 1
-        return total if n else None
+        order = np.argsort(keys, kind="stable")
+        kinds, keys, lang, n = kinds[order], keys[order], lang[order], n[order]
+        self.keys, self.first = np.unique(keys, return_index=True)
+        self.first = np.append(self.first, len(keys)).astype(np.int64)
+        self.lang = lang.astype(np.uint16)
+        self.more = np.log((n + SMOOTHING) / SMOOTHING).astype(np.float32)
+        self.base = np.zeros((WORD + 1, len(langs)))
+        kind_of_key = kinds[self.first[:-1]]
+        for kind in range(1, WORD + 1):
+            own = kinds == kind
+            total = np.bincount(lang[own], weights=n[own], minlength=len(langs)) if own.any() else np.zeros(len(langs))
+            self.base[kind] = np.log(SMOOTHING) - np.log(total + SMOOTHING * max(1, int((kind_of_key == kind).sum())))
+        self._forget()
+
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k not in ("row_of", "rows", "used")}
+
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__.update(state)
+        self._forget()
+
+    def _forget(self) -> None:
+        self.row_of: dict[str, int] = {}
+        #: By remembered word: the log likelihood in each language, and 1 if anything of the word is known.
+        self.rows, self.used = np.zeros((1024, len(self.langs) + 1)), 0
+
+    def _find(self, keys: list[int]) -> tuple[np.ndarray, np.ndarray]:
+        """The places of hashed keys in the table, and whether they are there."""
+        wanted = np.array(keys, np.uint64)
+        if not len(self.keys):
+            return np.zeros(len(wanted), np.int64), np.zeros(len(wanted), bool)
+        at = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
+        return at, self.keys[at] == wanted
+
+    def _learn(self, words: list[str]) -> None:
+        """Remember the rows of words that aren't yet."""
+        if (self.used + len(words)) * self.rows.shape[1] > REMEMBERED:
+            self._forget()
+        start, self.used = self.used, self.used + len(words)
+        if self.used > len(self.rows):
+            self.rows = np.concatenate((self.rows[:start], np.zeros((max(self.used, 2 * start) - start, self.rows.shape[1]))))
+        own = self.rows[start : self.used]
+        own[:] = 0
+        at, known = self._find([key_of(w, WORD) for w in words])
+        kinds, places, owners = [np.full(int(known.sum()), WORD)], [at[known]], [np.flatnonzero(known)]
+        unseen = np.flatnonzero(~known)
+        edged = [f"<{words[i]}>" for i in unseen]
+        spans = [(i, n) for w in edged for i in range(len(w)) for n in range(1, min(LONGEST, len(w) - i) + 1)]
+        whose = [k for k, w in enumerate(edged) for i in range(len(w)) for _ in range(min(LONGEST, len(w) - i))]
+        at, known = self._find([key_of(edged[k][i : i + n], n) for k, (i, n) in zip(whose, spans, strict=True)])
+        # The longest known n-gram from each place, and then those that cover the word from left to right.
+        longest: dict[tuple[int, int], tuple[int, int]] = {}
+        for j in np.flatnonzero(known).tolist():
+            longest[whose[j], spans[j][0]] = (spans[j][1], int(at[j]))
+        for k, w in enumerate(edged):
+            i, found = 0, []
+            while i < len(w):
+                n, place = longest.get((k, i), (1, -1))
+                if place >= 0:
+                    found.append((n, place))
+                i += n
+            kinds.append(np.array([n for n, _ in found], np.int64))
+            places.append(np.array([p for _, p in found], np.int64))
+            owners.append(np.full(len(found), unseen[k]))
+        kind, place, owner = map(np.concatenate, (kinds, places, owners))
+        np.add.at(own[:, :-1], owner, self.base[kind])
+        size = self.first[place + 1] - self.first[place]
+        entry = np.repeat(self.first[place] - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
+        np.add.at(own, (np.repeat(owner, size), self.lang[entry].astype(np.int64)), self.more[entry])
+        own[owner, -1] = 1
+        self.row_of.update(zip(words, range(start, self.used), strict=True))
+
+    def predict_all(self, texts: list[str]) -> list[tuple[str, float]]:
+        """The language and score of each text."""
+        cut = [WORDS.findall(t.lower()) for t in texts]
+        out = []
+        for words in cut:
+            if not words or not self.langs:
+                out.append((UNKNOWN, 0.0))
+                continue
+            if missing := set(words).difference(self.row_of):
+                self._learn(sorted(missing))
+                if not self.row_of.keys() >= set(words):  # the others were forgotten for these
+                    self._learn(sorted(set(words).difference(self.row_of)))
+            total = self.rows[np.fromiter(map(self.row_of.__getitem__, words), np.int64, len(words))].sum(axis=0)
+            n, total = total[-1], total[:-1] + np.log(np.maximum(self.share, 1e-9))
+            if n == 0:
+                best = int(np.argmax(self.share))
+                out.append((self.langs[best], float(self.share[best])))
+                continue
+            p = np.exp((total - total.max()) / math.sqrt(n))
+            best = int(np.argmax(total))
+            out.append((self.langs[best], float(p[best] / p.sum())))
+        return out
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        words = WORDS.findall((text or "").lower())
-        if not words or not self.langs:
-            return UNKNOWN, 0.0
-        get, counts = self.word_row.get, Counter(words)
-        known, times, total, n = [], [], np.log(np.maximum(self.share, 1e-9)), 0
-        for word, k in counts.items():
-            if (row := get(word)) is not None:
-                known.append(row)
-                times.append(k)
-            else:
-                if word not in self.recent:
-                    if len(self.recent) > 200_000:
-                        self.recent.clear()
-                    self.recent[word] = self.backoff(word)
-                if (v := self.recent[word]) is not None:
-                    total, n = total + k * v, n + k
-        if known:
-            total, n = total + np.array(times, float) @ self.rows[known], n + sum(times)
-        if n == 0:
-            best = int(np.argmax(self.share))
-            return self.langs[best], float(self.share[best])
-        p = np.exp((total - total.max()) / math.sqrt(n))
-        best = int(np.argmax(total))
-        return self.langs[best], float(p[best] / p.sum())
+        return self.predict_all([text or ""])[0]
+
+
+def _quota(counts: list[int], most: int) -> int:
+    """The largest number of rows that each group may give, if it has them, so that all give `most` together at most; 1 at least."""
+    left, quota = most, 1
+    for i, n in enumerate(sorted(counts)):
+        quota = max(1, left // (len(counts) - i))
+        if n > quota:
+            break
+        left -= n
+    return quota
 
 
 def train(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample_docs: int = SAMPLE_DOCS) -> Model:
-    """Count words and n-grams of a bounded sample of labelled documents on the executors; the tables that come back are bounded."""
-    usable = docs.filter(~held_out(id_col) & F.col(lang_col).isNotNull())
-    # The sample's ids are at most `sample_docs` numbers, so they can go to every executor.
-    chosen = usable.select(F.col(id_col).alias("_id")).distinct().orderBy(F.xxhash64("_id"), "_id").limit(sample_docs)
-    rows = usable.join(F.broadcast(chosen), F.col(id_col) == F.col("_id"), "left_semi").select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
+    """Count words and n-grams of a bounded sample of labelled documents on the executors."""
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"))
+    rows = rows.filter(~held_out("id") & F.col("lang").isNotNull())
+    of = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # a row for each language
+    langs = sorted(of)
+    if not langs:
+        return Model([], [], *(np.zeros(0, np.int64) for _ in range(4)))
+    quota = _quota(list(of.values()), sample_docs)
+    shares = F.create_map(*[x for k in langs for x in (F.lit(k), F.lit(min(1.0, quota / of[k])))])
+    code = F.create_map(*[x for i, k in enumerate(langs) for x in (F.lit(k), F.lit(i))])
+    # The hash of the id between 0 and 1, so that the same rows are taken whatever the partitions.
+    place = F.shiftrightunsigned(F.xxhash64("id"), 11) / F.lit(2.0**53)
+    sample = rows.filter(place < shares[F.col("lang")]).select(code[F.col("lang")].alias("lang"), "text")
 
     def count(batches):
-        counts: dict[tuple[str, bool], Counter] = {}
+        counts: dict[int, Counter] = {}
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                counts.setdefault((lang, True), Counter()).update(WORDS.findall((text or "").lower()))
-                counts.setdefault((lang, False), Counter())[""] += 1
-        for lang in {k for k, _ in counts}:
-            words = counts[lang, True]
-            grams: Counter = Counter()
+                counts.setdefault(lang, Counter()).update(WORDS.findall((text or "").lower()))
+        for lang, words in counts.items():
+            by_kind: dict[int, Counter] = {WORD: words} | {n: Counter() for n in range(1, LONGEST + 1)}
             for word, k in words.items():
-                for g in grams_of(word):
-                    grams[g] += k
-            for kind, c in (("w", words), ("g", grams), ("d", counts[lang, False])):
-                keys = list(c)
-                for s in range(0, len(keys), 50_000):
-                    part = keys[s : s + 50_000]
-                    yield pa.RecordBatch.from_arrays([pa.array([kind] * len(part)), pa.array([lang] * len(part)), pa.array(part), pa.array([c[k] for k in part], pa.int64())], ["kind", "lang", "key", "n"])
-
-    counts = rows.mapInArrow(count, "kind string, lang string, key string, n bigint").groupBy("kind", "key", "lang").agg(F.sum("n").alias("n"))
-    by_key = counts.groupBy("kind", "key").agg(F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by"), F.sum("n").alias("total")).cache()
-    top = lambda kind, most: by_key.filter(F.col("kind") == kind).orderBy(F.desc("total"), "key").limit(most).collect()
-    docs_by = next((r["by"] for r in top("d", 1)), {})
-    langs = sorted(docs_by)
-    table = lambda found: {r["key"]: [r["by"].get(x, 0) for x in langs] for r in found}
-    model = Model(langs, [docs_by[x] for x in langs], table(top("w", MAX_WORDS)), table(top("g", MAX_GRAMS)))
-    by_key.unpersist()
-    return model
+                edged = f"<{word}>"
+                for n in range(1, LONGEST + 1):
+                    for i in range(len(edged) - n + 1):
+                        by_kind[n][edged[i : i + n]] += k
+            for kind, c in by_kind.items():
+                keys = np.fromiter((key_of(x, kind) for x in c), np.uint64, len(c)).view(np.int64)
+                for s in range(0, len(keys), 100_000):
+                    part = keys[s : s + 100_000]
+                    n = np.fromiter(c.values(), np.int64, len(c))[s : s + 100_000]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), kind, np.int8)), pa.array(part), pa.array(np.full(len(part), lang, np.int32)), pa.array(n)], ["kind", "key", "lang", "n"])
+
+    counts = sample.mapInArrow(count, "kind tinyint, key bigint, lang int, n bigint").groupBy("kind", "key", "lang").agg(F.sum("n").alias("n"))
+    found = materialize(counts).toArrow()  # bounded by the sample
+    kind, key, lang, n = (found.column(c).to_numpy() for c in ("kind", "key", "lang", "n"))
+    return Model(langs, [of[x] for x in langs], kind.astype(np.int64), key.view(np.uint64), lang.astype(np.int64), n)
 
 
 def predict(docs: DataFrame, model: Model, *, text_col: str = "text") -> DataFrame:
-    """All columns of the documents as a struct `doc`, with `lang_pred` and `score`; the model's size is bounded by its parameters."""
+    """All columns of the documents as a struct `doc`, with `lang_pred` and `score`; the model's size is bounded by the training sample."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.col(text_col).alias("_text"))
 
     def step(batch: pa.RecordBatch, texts: list[str]) -> dict:
-        found = [shared.value.predict(t) for t in texts]
+        found = shared.value.predict_all(texts)
         return {"doc": batch.column(0), "lang_pred": [x for x, _ in found], "score": [x for _, x in found]}
 
     schema = StructType([rows.schema["doc"], StructField("lang_pred", StringType()), StructField("score", DoubleType())])

@@ -504,6 +504,69 @@ def test_language_training_is_a_bounded_sample(spark):
     docs = frame(spark, language_rows())
     assert language_id.train(docs, sample_docs=10).share.sum() == pytest.approx(1)
     assert language_id.train(docs.limit(0)).predict("word") == ("und", 0.0)
+    assert [language_id._quota(c, 10) for c in ([100, 100], [2, 100], [1, 2], [3, 3, 50])] == [5, 8, 9, 4]
+
+
+def test_language_of_texts_without_letters():
+    model = language_id.Model(["de", "en"], [1, 3], *(np.zeros(0, np.int64) for _ in range(4)))
+    assert {model.predict(t) for t in ("½", "²", "①②", "Ⅷ", "٣", "_", "3½")} == {("und", 0.0)}
+    assert model.predict("語") == ("en", 0.75) and model.predict("一") == ("en", 0.75)
+
+
+def log_likelihoods(rows, langs, text):
+    """By the definition: words by their log frequency, others by the longest known n-grams from left to right."""
+    kinds = {n: {x: collections.Counter() for x in langs} for n in range(7)}
+    for lang, t in rows:
+        for w in re.findall(r"[a-zäöü]+", t.lower()):
+            kinds[6][lang][w] += 1
+            for n in range(1, 6):
+                kinds[n][lang].update(f"<{w}>"[i : i + n] for i in range(len(w) + 3 - n))
+
+    def add(kind, x):
+        keys = len(set().union(*kinds[kind].values()))
+        return np.array([np.log((kinds[kind][k][x] + 0.1) / (sum(kinds[kind][k].values()) + 0.1 * keys)) for k in langs])
+
+    total, n = np.log([sum(x == k for x, _ in rows) / len(rows) for k in langs]), 0
+    for w in re.findall(r"[a-zäöü]+", text.lower()):
+        if any(w in kinds[6][k] for k in langs):
+            total, n = total + add(6, w), n + 1
+            continue
+        i, edged, some = 0, f"<{w}>", False
+        while i < len(edged):
+            n_gram = next((g for g in range(min(5, len(edged) - i), 0, -1) if any(edged[i : i + g] in kinds[g][k] for k in langs)), 0)
+            if n_gram:
+                total, some = total + add(n_gram, edged[i : i + n_gram]), True
+            i += n_gram or 1
+        n += some
+    return total, n
+
+
+def test_language_query_as_brute_force(spark, tmp_path, monkeypatch):
+    from lexforge.llm import queries
+
+    r = random.Random(31)
+    made = lambda letters: "".join(r.choice(letters) for _ in range(r.randrange(2, 7)))
+    letters = {"de": "aenrstüö", "en": "aeothwns", "fr": "aeiluopt"}
+    words = {k: [made(v) for _ in range(40)] for k, v in letters.items()}
+    rows = [(i, " ".join(r.choice(words[lang]) if r.random() < 0.8 else made(letters[lang]) for _ in range(12)), lang, "s", 1) for i, lang in enumerate(["de", "en", "fr"] * 40)]
+    rows += [(500, None, "de", "s", 1), (501, "12 ½", "en", "s", 1), (None, "ohne", "de", "s", 1)]
+    frame(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    monkeypatch.setattr(language_id, "REMEMBERED", 150)  # words are forgotten and found again
+    out = {x["doc_id"]: x for x in queries.op9_word_first_language(spark, str(tmp_path)).collect()}
+    held = lambda i: i is not None and zlib.crc32(str(i).encode()) % 5 == 0
+    langs, right = ["de", "en", "fr"], 0
+    trained = [(x[2], x[1] or "") for x in rows if x[0] is not None and not held(x[0])]
+    for i, text, lang, *_ in rows:
+        got = out[i]
+        assert got["held_out"] == (held(i) if i is not None else None)
+        total, n = log_likelihoods(trained, langs, text or "")
+        if i in (500, 501):
+            assert (got["lang_pred"], got["score"]) == ("und", 0.0)
+            continue
+        p = np.exp((total - total.max()) / np.sqrt(n))
+        assert got["lang_pred"] == langs[int(np.argmax(total))] and got["score"] == pytest.approx(p.max() / p.sum(), rel=1e-4)
+        right += got["lang_pred"] == lang
+    assert right >= 0.95 * (len(rows) - 2)
 
 
 def test_language_on_odd_rows(spark):
