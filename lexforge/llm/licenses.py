@@ -167,6 +167,7 @@ def scan_text(text: str) -> dict:
     words = text.encode("utf-8", "surrogatepass").translate(_FOLD).split()
     line = " " + b" ".join(words).decode("latin-1") + " "
     starts, base, labels, freedom, tagged = [], set(), set(), [], False
+    seen, word = 0, -1  # places are met in order of their ends; the words up to `seen` are counted once
     for end, (is_base, label, n, length) in automaton().iter(line):
         if label is None:
             tagged = True
@@ -175,7 +176,8 @@ def scan_text(text: str) -> dict:
         freedom.append(FREEDOM[label])
         if is_base:
             base.add(label)
-            starts.append(line.count(" ", 0, end - length + 1))
+            word, seen = word + line.count(" ", seen, end), end
+            starts.append(word - n + 1)
     expressions = []
     if tagged:
         for m in TAG_PATTERN.finditer(text):
