@@ -237,13 +237,14 @@ def _rest_verified(members: DataFrame, texts: DataFrame, threshold: float, block
 
 
 def rows_of(docs: DataFrame, wanted: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row of the documents, with its content key `_node`, for each (least, node) of `wanted`: the least id of a text, null if it has none."""
-    known = wanted.filter("least is not null").select(F.col("least").alias("_least"), F.col("node").alias("_node"))
-    known = docs.join(known, docs[id_col] == F.col("_least")).filter(node_of(F.col(text_col)) == F.col("_node")).dropDuplicates(["_node"])
+    """(node, doc): one row of the documents, as a struct, for each (least, node) of `wanted`: the least id of a text, null if it has none."""
+    packed = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"))
+    known = wanted.filter("least is not null").select(F.col("least").alias("id"), "node")
+    known = packed.join(known, "id").filter(node_of(F.col("text")) == F.col("node")).dropDuplicates(["node"])
     # Copies without an id are combined before the shuffle.
-    other = docs.filter(docs[id_col].isNull()).withColumn("_node", node_of(F.col(text_col))).dropDuplicates(["_node"])
-    other = other.join(wanted.filter("least is null").select(F.col("node").alias("_node")), "_node", "left_semi")
-    return known.select(*docs.columns, "_node").union(other.select(*docs.columns, "_node"))
+    other = packed.filter("id is null").withColumn("node", node_of(F.col("text"))).dropDuplicates(["node"])
+    other = other.join(wanted.filter("least is null").select("node"), "node", "left_semi")
+    return known.select("node", "doc").union(other.select("node", "doc"))
 
 
 def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
@@ -262,7 +263,7 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     similar = F.least("size", "other") >= threshold * F.greatest("size", "other")
     first = materialize(members.filter("node <> leader").filter(similar).select(F.col("leader").alias("u"), F.col("node").alias("v")).distinct())
     wanted = members.select("node").distinct().join(nodes, "node").select("least", "node")
-    texts = rows_of(docs.select(id_col, F.coalesce(text_col, F.lit("")).alias("text")), wanted, id_col=id_col).select(F.col("_node").alias("node"), "text")
+    texts = rows_of(docs.select(F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("text")), wanted, id_col="id", text_col="text").select("node", "doc.text")
     links = materialize(_verified(first, texts, threshold))
     roots = materialize(components(links))
     # Members of a bucket that the leader has not brought into one component are compared with those of the others.

@@ -1,10 +1,12 @@
 """Quality by importance resampling: the ratio of two hashed n-gram models, sampled by Gumbel top-k.
 
 The target model counts the hashed words and word pairs of good documents (a bounded labelled sample), the raw model those
-of all documents. A document's log weight is the mean, over its n-grams, of the log ratio of both models. Documents are
-drawn without replacement in proportion to exp(`SHARPNESS` * log weight), which is taking the k largest of
-`SHARPNESS` * log weight plus Gumbel noise. The noise comes from a hash of the id and the text, so a draw can be repeated, and k is the share
-of good rows among the labelled ones plus a margin. The k-th largest key is found exactly by counting digits, without sorting rows.
+of all documents. A document's log weight is the mean, over its n-grams, of the log ratio of both models. As n-grams depend on
+each other, neither the mean nor the sum is the log of an odds ratio; a logistic curve fitted on the sample says how many
+times the mean that is (`sharpness`). Documents are drawn without replacement in proportion to exp(sharpness * log weight), which is
+taking the k largest of sharpness * log weight plus Gumbel noise. The noise comes from a hash of the id and the text, so a draw can be repeated,
+and k is the share of good rows among the labelled ones, at the upper end of its 95 % interval (Wilson's), so that a share that
+the sample shows too low costs no good documents. The k-th largest key is found exactly by counting digits, without sorting rows.
 
 Defined results: a null or empty text has no n-grams and log weight 0, a neutral one; documents whose keys equal the k-th
 are all taken, so repeated rows go together; without good labelled rows all weights are 0; an empty table gives an empty
@@ -24,11 +26,12 @@ from pyspark.sql import functions as F
 
 from lexforge.llm.arrow import blocks, map_texts
 from lexforge.llm.bagminhash import mix
+from lexforge.llm.labelled import fit_curve
 from lexforge.runtime import materialize
 
-BUCKETS, SHARPNESS, SMOOTHING = 10_000, 30.0, 1.0
-#: Added to the share of good labels, so that an estimate that is a little low costs no good documents.
-MARGIN = 0.01
+BUCKETS, SMOOTHING = 10_000, 1.0
+#: Standard deviations of the interval of the share of good labels.
+Z = 1.96
 TOKENS = re.compile(r"\w+|[^\w\s]+")
 _seen: dict[str, int] = {}
 
@@ -72,7 +75,28 @@ def log_ratio(target: np.ndarray, raw: np.ndarray) -> np.ndarray:
     return np.where(raw > 0, np.log(np.maximum(p, 1e-12) / q), 0.0)
 
 
-def weigh(docs: DataFrame, ratio: np.ndarray, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def upper_share(good: int, n: int, z: float = Z) -> float:
+    """The upper end of Wilson's interval of a share."""
+    p = good / n
+    return min(1.0, (p + z * z / (2 * n) + z * math.sqrt(p * (1 - p) / n + z * z / (4 * n * n))) / (1 + z * z / n))
+
+
+def sharpness(sample: DataFrame, ratio: np.ndarray) -> float:
+    """The slope of the log odds of a good label over the log weight; 1 without labels of both kinds or where good texts don't weigh more."""
+    shared = sample.sparkSession.sparkContext.broadcast(ratio)
+
+    def step(batch: pa.RecordBatch, texts: list[str]) -> dict:
+        return {"label": batch.column(1), "w": [float(shared.value[g].mean()) if len(g := grams(t)) else 0.0 for t in texts]}
+
+    known = map_texts(sample.select("text", F.col("label").cast("int").alias("label")), "text", "label int, w double", step).toArrow()  # as many rows as the sample at most
+    y, w = (known.column("label").to_numpy() == 1).astype(float), known.column("w").to_numpy()
+    if len(y) == 0 or y.min() == y.max():
+        return 1.0
+    scale = max(float(w.std()), 1e-9)
+    return max(1.0, fit_curve((w - w.mean()) / scale, y)[0] / scale)
+
+
+def weigh(docs: DataFrame, ratio: np.ndarray, sharp: float, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, log_weight, key) of each document."""
     shared = docs.sparkSession.sparkContext.broadcast(ratio)
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
@@ -82,7 +106,7 @@ def weigh(docs: DataFrame, ratio: np.ndarray, *, id_col: str = "doc_id", text_co
         keys = []
         for i, t, w in zip(batch.column(0).to_pylist(), texts, weights, strict=True):
             u = ((xxhash.xxh3_64_intdigest(f"{i}\n{t}") >> 11) + 0.5) * 2.0**-53
-            keys.append(SHARPNESS * w - math.log(-math.log(u)))
+            keys.append(sharp * w - math.log(-math.log(u)))
         return {"id": batch.column(0), "log_weight": weights, "key": keys}
 
     return map_texts(rows, "text", f"id {dict(rows.dtypes)['id']}, log_weight double, key double", step).withColumnRenamed("id", id_col)
@@ -116,8 +140,8 @@ def resample(docs: DataFrame, sample: DataFrame, *, id_col: str = "doc_id", text
     """(id, log_weight, key, selected) of each document; `sample` has (text, label), label 1 for good texts."""
     shares = sample.agg(F.count("*").alias("n"), F.sum(F.when(F.col("label") == 1, 1).otherwise(0)).alias("good")).first()
     ratio = log_ratio(gram_counts(sample.filter("label = 1")), gram_counts(docs, text_col))
-    rows = materialize(weigh(docs, ratio, id_col=id_col, text_col=text_col))
-    k = math.ceil(rows.count() * min(1.0, shares["good"] / shares["n"] + MARGIN)) if shares["good"] else 0
+    rows = materialize(weigh(docs, ratio, sharpness(sample, ratio), id_col=id_col, text_col=text_col))
+    k = math.ceil(rows.count() * upper_share(shares["good"], shares["n"])) if shares["good"] else 0
     least = kth_largest(rows, "key", k) if k else None
     selected = code_of(F.col("key")) >= F.lit(least).cast("long") if least is not None else F.lit(False)
     return rows.withColumn("selected", selected)

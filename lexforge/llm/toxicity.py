@@ -5,12 +5,13 @@ in proportion to its overall frequency, and is shrunk towards 0 by 1.96 standard
 nothing. With a small constant taken off every word, an ordinary text's running sum falls, and toxic passages are segments
 of high sum. A word that repeats the one before it adds nothing. One linear scan finds all maximal segments: each word that adds starts a candidate, which absorbs earlier ones while that
 raises its sum. For random text the best segment's sum has an extreme-value distribution with parameters lambda and K;
-lambda is the root of sum p(w) exp(lambda s(w)) = 1 over ordinary words. A segment is significant if its expected number in
+lambda is the root of sum p(w) exp(lambda s(w)) = 1 over ordinary words, and K follows from the best segments of the sample's
+ordinary texts, as lambda S - ln n has mean ln K + 0.5772 (Euler's constant). A segment is significant if its expected number in
 a random text of that length, K n exp(-lambda S), is below `EXPECT`. A document's evidence is the sum of the
 normalised scores of its significant segments, or of its best one, and a logistic curve fitted on the sample turns it into the score.
 
 Defined results: a null or empty text, or one without words, has no segments and the lowest score; repeated rows score
-alike; ties between segments don't change any result; without labelled rows of both kinds every score is 0; an
+alike; ties between segments don't change any result; without labelled rows of both kinds every score is next to 0; an
 empty table gives an empty result; other columns are not read.
 """
 
@@ -25,19 +26,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexforge.llm.arrow import map_texts
+from lexforge.llm.labelled import fit_curve
 from lexforge.runtime import materialize
 
 WORDS = re.compile(r"\w+")
-#: Words of the model, by how far their log-odds is from 0; the prior's weight as a share of all counts.
-MAX_WORDS, PRIOR_SHARE, Z, DRIFT, EXPECT = 100_000, 0.1, 1.96, 0.1, 0.01
-K_CONSTANT = 0.1
+EULER = 0.5772156649015329
+#: Evidence outside these says nothing more.
+REACH = (-10.0, 60.0)
+#: The prior's weight as a share of all counts, deviations that log-odds are shrunk by, what each word costs, and the expected number of chance segments.
+PRIOR_SHARE, Z, DRIFT, EXPECT = 0.1, 1.96, 0.1, 0.01
 
 
 class Model:
     """Word scores, extreme-value parameters and the logistic curve."""
 
-    def __init__(self, scores: dict[str, float], lam: float):
-        self.scores, self.lam = scores, lam
+    def __init__(self, scores: dict[str, float], lam: float, log_k: float = 0.0):
+        self.scores, self.lam, self.log_k = scores, lam, log_k
         self.slope, self.shift = 0.0, -50.0
 
     def segments(self, text: str) -> tuple[int, list[tuple[int, int, float]]]:
@@ -71,14 +75,14 @@ class Model:
         """The significant segments with their normalised scores, and the document's evidence."""
         n, found = self.segments(text)
         if not found:
-            return [], -10.0
-        floor = math.log(K_CONSTANT * n)
+            return [], REACH[0]
+        floor = self.log_k + math.log(n)
         scored = [(s, e, self.lam * v - floor) for s, e, v in found]
         kept = [x for x in scored if x[2] > -math.log(EXPECT)]
         return kept, sum(x[2] for x in kept) if kept else max(x[2] for x in scored)
 
     def score(self, evidence: float) -> float:
-        z = self.slope * max(-10.0, min(evidence, 60.0)) + self.shift
+        z = self.slope * max(REACH[0], min(evidence, REACH[1])) + self.shift
         return 1 / (1 + math.exp(-max(-50.0, min(50.0, z))))
 
 
@@ -94,19 +98,7 @@ def _lambda(scores: np.ndarray, share: np.ndarray) -> float:
     return low
 
 
-def _fit_curve(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Logistic regression of one feature by Newton's method, with a small ridge."""
-    x = np.clip(x, -10, 60)
-    w = np.zeros(2)
-    design = np.stack([x, np.ones(len(x))], 1)
-    for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(design @ w, -30, 30)))
-        h = (design * (p * (1 - p))[:, None]).T @ design + 1e-3 * np.eye(2)
-        w = w + np.clip(np.linalg.solve(h, design.T @ (y - p) - 1e-3 * w), -5, 5)
-    return float(w[0]), float(w[1])
-
-
-def train(sample: DataFrame, *, max_words: int = MAX_WORDS) -> Model:
+def train(sample: DataFrame) -> Model:
     """Fit on (text, label) rows; the counts are made on the executors, and what comes back is bounded by the model and the sample."""
 
     def count(batches):
@@ -132,7 +124,7 @@ def train(sample: DataFrame, *, max_words: int = MAX_WORDS) -> Model:
     delta = odds(F.col("n1"), n1) - odds(F.col("n0"), n0)
     deviation = F.sqrt(1 / (F.col("n1") + a) + 1 / (F.col("n0") + a))
     shrunk = F.signum(delta) * F.greatest(F.lit(0.0), F.abs(delta) - Z * deviation)
-    found = counts.select("word", "n0", shrunk.alias("s")).filter("s <> 0").orderBy(F.desc(F.abs(F.col("s"))), "word").limit(max_words).collect()
+    found = counts.select("word", "n0", shrunk.alias("s")).filter("s <> 0").orderBy("word").collect()  # words of the sample that tell the labels apart
     scores = {r["word"]: r["s"] for r in found}
     values = np.array([r["s"] for r in found] + [0.0]) - DRIFT
     share = np.array([r["n0"] for r in found], float)
@@ -142,6 +134,15 @@ def train(sample: DataFrame, *, max_words: int = MAX_WORDS) -> Model:
     # Words that only occur in toxic texts have no share among ordinary ones; give them half an occurrence.
     share = np.maximum(share, 0.5 / n0)
     model = Model(scores, _lambda(values, share / share.sum()))
+    calm = sample.filter("label is null or label <> 1").select("text")
+    first = sample.sparkSession.sparkContext.broadcast(model)
+
+    def best(batch: pa.RecordBatch, texts: list[str]) -> dict:
+        found = [first.value.segments(t) for t in texts]
+        return {"x": [first.value.lam * max(v for *_, v in s) - math.log(n) if s else None for n, s in found]}
+
+    mean = map_texts(calm, "text", "x double", best).agg(F.avg("x").alias("m")).first()["m"]
+    model.log_k = (mean if mean is not None else 0.0) - EULER
     shared = sample.sparkSession.sparkContext.broadcast(model)
 
     def step(batch: pa.RecordBatch, texts: list[str]) -> dict:
@@ -149,7 +150,7 @@ def train(sample: DataFrame, *, max_words: int = MAX_WORDS) -> Model:
 
     known = map_texts(sample.select("text", "label"), "text", "label int, x double", step).collect()  # as many rows as the sample at most
     if len({r["label"] for r in known}) > 1:
-        model.slope, model.shift = _fit_curve(np.array([r["x"] for r in known]), np.array([float(r["label"] == 1) for r in known]))
+        model.slope, model.shift = fit_curve(np.clip([r["x"] for r in known], *REACH), np.array([float(r["label"] == 1) for r in known]))
     return model
 
 
