@@ -29,7 +29,7 @@ def frame(spark, rows, parts: int = 3):
 
 def clashing(df):
     """Extra columns with names that operators use inside."""
-    names = "node size bands bucket class ids key score spans rank shard kept base_failed n_words id lang_pred label u v k word r_symbols".split()
+    names = "node size bands bucket class ids key score spans rank shard kept base_failed n_words id lang_pred label u v k word r_symbols _id _node _least _text _doc _m doc text_ lang_ a b least f_key block late to unknown quality toxic".split()
     return df.select("*", *[F.lit("clash").alias(n) for n in names])
 
 

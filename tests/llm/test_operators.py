@@ -354,14 +354,42 @@ def test_kth_largest_is_exact(spark):
     assert importance.kth_largest(df, "key", 508) is None
 
 
-def test_resampling_prefers_good_documents(spark):
-    rows = [(i, prose(i, 100) if i % 5 else " ".join(w + "$$ |" for w in prose(i, 50).split()), "en", "src0", 1) for i in range(400)]
-    labels = spark.createDataFrame([(i, int(i % 5 > 0), 0) for i in range(400)], "doc_id long, quality int, toxic int")
-    docs = frame(spark, rows)
-    out = {r["doc_id"]: r for r in importance.resample(docs, labelled_sample(docs, labels, "quality")).collect()}
-    taken = [i for i in out if out[i]["selected"]]
-    assert len(taken) == pytest.approx(320, abs=12) and sum(i % 5 == 0 for i in taken) <= 8
-    assert max(out[i]["log_weight"] for i in out if i % 5 == 0) < min(out[i]["log_weight"] for i in out if i % 5)
+def test_share_and_sharpness():
+    assert importance.upper_share(0, 1000) < 0.004 and importance.upper_share(10, 10) == 1.0 and 0.9 < importance.upper_share(900, 1000) < 0.92
+
+
+def test_resampling_query_as_brute_force(spark, tmp_path):
+    """Weights, noise and selection by the definition, over texts of words and word pairs."""
+    import xxhash
+
+    from lexforge.llm import queries
+
+    rows = [(i, prose(i, 60) if i % 5 else " ".join(w + "$$ |" for w in prose(i, 40).split()), "en", "src0", 1) for i in range(300)] + [(900, None, "en", "s", 1), (901, "", "en", "s", 1)]
+    labels = [(i, int(i % 5 > 0), 0) for i in range(0, 300, 2)]
+    frame(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    got = {r["doc_id"]: r for r in queries.op7_importance_resampling(spark, str(tmp_path)).collect()}
+
+    def grams(t):
+        tokens = [xxhash.xxh3_64_intdigest(x) for x in re.findall(r"\w+|[^\w\s]+", t or "")]
+        pairs = [int(importance.mix(np.array([(a * 0x9E3779B97F4A7C15 + b) % 2**64], np.uint64))[0]) for a, b in zip(tokens, tokens[1:])]
+        return [x % importance.BUCKETS for x in tokens + pairs]
+
+    bags = {r[0]: grams(r[1]) for r in rows}
+    raw = collections.Counter(g for b in bags.values() for g in b)
+    known = [(i, q) for i, q, _ in labels if zlib.crc32(str(i).encode()) % 5]
+    good = collections.Counter(g for i, q in known if q for g in bags[i])
+    n_raw, n_good = sum(raw.values()), sum(good.values())
+    log = {g: np.log((good[g] + raw[g] / n_raw * importance.BUCKETS) / (n_good + importance.BUCKETS) / (raw[g] / n_raw)) for g in raw}
+    weight = {i: float(np.mean([log[g] for g in b])) if b else 0.0 for i, b in bags.items()}
+    assert all(got[i]["log_weight"] == pytest.approx(w, abs=1e-6) for i, w in weight.items())
+    x, y = np.array([weight[i] for i, _ in known]), np.array([float(q) for _, q in known])
+    sharp = importance.fit_curve((x - x.mean()) / x.std(), y)[0] / x.std()
+    text = {r[0]: r[1] or "" for r in rows}
+    key = {i: sharp * w - np.log(-np.log(((xxhash.xxh3_64_intdigest(f"{i}\n{text[i]}") >> 11) + 0.5) * 2.0**-53)) for i, w in weight.items()}
+    k = int(np.ceil(len(rows) * importance.upper_share(int(y.sum()), len(y))))
+    assert {i for i in got if got[i]["selected"]} == set(sorted(key, key=key.get, reverse=True)[:k])
+    assert sum(got[i]["selected"] for i in range(0, 300, 5)) <= 30 < 220 <= sum(got[i]["selected"] for i in range(300))
 
 
 def test_resampling_on_odd_rows(spark):
