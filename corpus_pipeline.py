@@ -26,13 +26,13 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the documents whose language can be told; `lang` becomes the predicted one."""
     found = language_id.predict(docs, language_id.train(docs)).filter(F.col("lang_pred") != language_id.UNKNOWN)
-    return found.select(*[F.col("lang_pred").alias(c) if c == "lang" else F.col("doc")[c].alias(c) for c in docs.columns])
+    return found.select(*[F.col("lang_pred").alias(c) if c == "lang" else F.col("doc").getField(c).alias(c) for c in docs.columns])
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep the document with the smallest doc_id of each class of near-duplicates, once; one without an id if none of the class has one."""
     heads = bagminhash.near_duplicates(docs).filter("node = head").select(F.col("class").alias("least"), "node").distinct()
-    return bagminhash.rows_of(docs, heads).select(*docs.columns)
+    return bagminhash.rows_of(docs, heads).select("doc.*")
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
