@@ -24,25 +24,26 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from lexforge.llm.arrow import map_texts
+from lexforge.llm.bagminhash import mix
 from lexforge.runtime import materialize
 
 SAMPLE_DOCS, LONGEST = 20_000, 5
 UNKNOWN = "und"
+_ODD = np.uint64(0x9E3779B97F4A7C15)
 SMOOTHING = 0.1
-#: The kind of a count: a document, an n-gram by its length, or a word. It's also the seed of the key's hash.
-DOCUMENT, WORD = 0, LONGEST + 1
-#: Numbers that a remembered word's row may take, for all rows; forgetting costs time only.
-REMEMBERED = 4_000_000
+#: The kind of a count: an n-gram by its length, or a word.
+WORD = LONGEST + 1
+#: Numbers in the rows of all remembered words; forgetting costs time only. Words that are learned together.
+REMEMBERED, TOGETHER = 500_000, 20_000
 #: Word characters that are neither letters nor digits: fractions, superscripts, circled and Roman numbers.
 _NUMBERS = "".join(c for c in map(chr, range(0x80, 0x20000)) if c.isnumeric() and not c.isdecimal() and not c.isalpha())
-#: Runs of letters.
-WORDS = re.compile(f"[^\\W\\d_{_NUMBERS}]+")
+_ODD_NUMBERS, _BLANK = frozenset(_NUMBERS), dict.fromkeys(map(ord, _NUMBERS), " ")
+_RUNS = re.compile(r"[^\W\d_]+")
 
 
 def held_out(id_col: str) -> Column:
@@ -50,9 +51,39 @@ def held_out(id_col: str) -> Column:
     return F.crc32(F.encode(F.col(id_col).cast("string"), "UTF-8")) % 5 == 0
 
 
-def key_of(text: str, kind: int) -> int:
-    """The 64-bit hash of a word or an n-gram."""
-    return xxhash.xxh3_64_intdigest(text, seed=kind)
+def words_of(text: str) -> list[str]:
+    """The runs of letters of a text in lower case."""
+    if not text.isascii() and not _ODD_NUMBERS.isdisjoint(text):
+        text = text.translate(_BLANK)
+    return _RUNS.findall(text.lower())
+
+
+class Cut:
+    """The code points of many words with their edges, and 64-bit hashes of what stands in them."""
+
+    def __init__(self, words: list[str]):
+        self.code = np.frombuffer("".join(f"<{w}>" for w in words).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+        self.size = np.fromiter(map(len, words), np.int64, len(words)) + 2
+        self.end = np.cumsum(self.size)
+        self.start = self.end - self.size
+        self.owner = np.repeat(np.arange(len(words)), self.size)
+        #: By place: how many code points of its word are left.
+        self.left = self.end[self.owner] - np.arange(len(self.code)) if len(self.code) else np.zeros(0, np.int64)
+
+    def grams(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """The places where an n-gram starts, and its hash."""
+        at = np.flatnonzero(self.left >= n)
+        h = np.full(len(at), n, np.uint64)
+        for k in range(n):
+            h = mix(h * _ODD + self.code[at + k])
+        return at, h
+
+    def words(self) -> np.ndarray:
+        """The hash of each word: of its places mixed with their code points, and of its length."""
+        if not len(self.size):
+            return np.zeros(0, np.uint64)
+        place = (np.arange(len(self.code)) - self.start[self.owner]).astype(np.uint64)
+        return mix(np.add.reduceat(mix(self.code * _ODD + mix(place + np.uint64(1))), self.start) + self.size.astype(np.uint64) * _ODD)
 
 
 class Model:
@@ -88,66 +119,80 @@ class Model:
         #: By remembered word: the log likelihood in each language, and 1 if anything of the word is known.
         self.rows, self.used = np.zeros((1024, len(self.langs) + 1)), 0
 
-    def _find(self, keys: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    def _find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The places of hashed keys in the table, and whether they are there."""
-        wanted = np.array(keys, np.uint64)
         if not len(self.keys):
-            return np.zeros(len(wanted), np.int64), np.zeros(len(wanted), bool)
-        at = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
-        return at, self.keys[at] == wanted
-
-    def _learn(self, words: list[str]) -> None:
+            return np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return at, self.keys[at] == keys
+
+    def _cover(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(word, kind, place in the table) of the longest known n-grams that cover each word from left to right."""
+        cut = Cut(words)
+        longest, place = np.zeros(len(cut.code), np.int64), np.zeros(len(cut.code), np.int64)
+        for n in range(LONGEST, 0, -1):
+            at, key = cut.grams(n)
+            new = longest[at] == 0
+            at, key = at[new], key[new]
+            found, known = self._find(key)
+            longest[at[known]], place[at[known]] = n, found[known]
+        now, used = cut.start.copy(), []
+        while len(live := np.flatnonzero(now < cut.end)):
+            at = now[live]
+            used.append(at[longest[at] > 0])
+            now[live] = at + np.maximum(longest[at], 1)
+        used = np.concatenate(used) if used else np.zeros(0, np.int64)
+        return cut.owner[used], longest[used], place[used]
+
+    def _learn(self, words: list[str], forget: bool = True) -> None:
         """Remember the rows of words that aren't yet."""
-        if (self.used + len(words)) * self.rows.shape[1] > REMEMBERED:
+        width = len(self.langs)
+        if forget and (self.used + len(words)) * (width + 1) > REMEMBERED:
             self._forget()
         start, self.used = self.used, self.used + len(words)
         if self.used > len(self.rows):
-            self.rows = np.concatenate((self.rows[:start], np.zeros((max(self.used, 2 * start) - start, self.rows.shape[1]))))
-        own = self.rows[start : self.used]
-        own[:] = 0
-        at, known = self._find([key_of(w, WORD) for w in words])
-        kinds, places, owners = [np.full(int(known.sum()), WORD)], [at[known]], [np.flatnonzero(known)]
-        unseen = np.flatnonzero(~known)
-        edged = [f"<{words[i]}>" for i in unseen]
-        spans = [(i, n) for w in edged for i in range(len(w)) for n in range(1, min(LONGEST, len(w) - i) + 1)]
-        whose = [k for k, w in enumerate(edged) for i in range(len(w)) for _ in range(min(LONGEST, len(w) - i))]
-        at, known = self._find([key_of(edged[k][i : i + n], n) for k, (i, n) in zip(whose, spans, strict=True)])
-        # The longest known n-gram from each place, and then those that cover the word from left to right.
-        longest: dict[tuple[int, int], tuple[int, int]] = {}
-        for j in np.flatnonzero(known).tolist():
-            longest[whose[j], spans[j][0]] = (spans[j][1], int(at[j]))
-        for k, w in enumerate(edged):
-            i, found = 0, []
-            while i < len(w):
-                n, place = longest.get((k, i), (1, -1))
-                if place >= 0:
-                    found.append((n, place))
-                i += n
-            kinds.append(np.array([n for n, _ in found], np.int64))
-            places.append(np.array([p for _, p in found], np.int64))
-            owners.append(np.full(len(found), unseen[k]))
-        kind, place, owner = map(np.concatenate, (kinds, places, owners))
-        np.add.at(own[:, :-1], owner, self.base[kind])
+            self.rows = np.concatenate((self.rows[:start], np.zeros((max(self.used, 2 * start) - start, width + 1))))
+        at, known = self._find(Cut(words).words())
+        whole, unseen = np.flatnonzero(known), np.flatnonzero(~known)
+        part, kinds, places = self._cover([words[i] for i in unseen])
+        owner = np.concatenate((whole, unseen[part]))
+        kind = np.concatenate((np.full(len(whole), WORD), kinds))
+        place = np.concatenate((at[whole], places))
         size = self.first[place + 1] - self.first[place]
         entry = np.repeat(self.first[place] - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
-        np.add.at(own, (np.repeat(owner, size), self.lang[entry].astype(np.int64)), self.more[entry])
-        own[owner, -1] = 1
+        cell = np.repeat(owner, size) * width + self.lang[entry]
+        more = np.bincount(cell, weights=self.more[entry], minlength=len(words) * width).reshape(len(words), width)
+        used = np.bincount(owner * (WORD + 1) + kind, minlength=len(words) * (WORD + 1)).reshape(len(words), WORD + 1)
+        self.rows[start : self.used, :-1] = used @ self.base + more
+        self.rows[start : self.used, -1] = used.any(axis=1)
         self.row_of.update(zip(words, range(start, self.used), strict=True))
 
     def predict_all(self, texts: list[str]) -> list[tuple[str, float]]:
-        """The language and score of each text."""
-        cut = [WORDS.findall(t.lower()) for t in texts]
-        out = []
+        """The language and score of each text; the words of as many texts as hold `TOGETHER` new ones are learned at once."""
+        out, waiting, new = [], [], set()
+        for text in texts:
+            words = words_of(text) if self.langs else []
+            waiting.append(words)
+            new.update(set(words).difference(self.row_of))
+            if len(new) >= TOGETHER:
+                out += self._judge(waiting, new)
+                waiting, new = [], set()
+        return out + self._judge(waiting, new)
+
+    def _judge(self, cut: list[list[str]], new: set[str]) -> list[tuple[str, float]]:
+        if new:
+            remembered = self.used
+            self._learn(list(new))
+            if self.used < remembered + len(new):  # the others were forgotten for these
+                if missing := set().union(*cut).difference(self.row_of):
+                    self._learn(list(missing), forget=False)
+        prior, out = np.log(np.maximum(self.share, 1e-9)), []
         for words in cut:
-            if not words or not self.langs:
+            if not words:
                 out.append((UNKNOWN, 0.0))
                 continue
-            if missing := set(words).difference(self.row_of):
-                self._learn(sorted(missing))
-                if not self.row_of.keys() >= set(words):  # the others were forgotten for these
-                    self._learn(sorted(set(words).difference(self.row_of)))
             total = self.rows[np.fromiter(map(self.row_of.__getitem__, words), np.int64, len(words))].sum(axis=0)
-            n, total = total[-1], total[:-1] + np.log(np.maximum(self.share, 1e-9))
+            n, total = total[-1], total[:-1] + prior
             if n == 0:
                 best = int(np.argmax(self.share))
                 out.append((self.langs[best], float(self.share[best])))
@@ -191,20 +236,16 @@ def train(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", la
         counts: dict[int, Counter] = {}
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                counts.setdefault(lang, Counter()).update(WORDS.findall((text or "").lower()))
-        for lang, words in counts.items():
-            by_kind: dict[int, Counter] = {WORD: words} | {n: Counter() for n in range(1, LONGEST + 1)}
-            for word, k in words.items():
-                edged = f"<{word}>"
-                for n in range(1, LONGEST + 1):
-                    for i in range(len(edged) - n + 1):
-                        by_kind[n][edged[i : i + n]] += k
-            for kind, c in by_kind.items():
-                keys = np.fromiter((key_of(x, kind) for x in c), np.uint64, len(c)).view(np.int64)
-                for s in range(0, len(keys), 100_000):
-                    part = keys[s : s + 100_000]
-                    n = np.fromiter(c.values(), np.int64, len(c))[s : s + 100_000]
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), kind, np.int8)), pa.array(part), pa.array(np.full(len(part), lang, np.int32)), pa.array(n)], ["kind", "key", "lang", "n"])
+                counts.setdefault(lang, Counter()).update(words_of(text or ""))
+        for lang, found in counts.items():
+            words, times = list(found), np.fromiter(found.values(), np.int64, len(found))
+            for s in range(0, len(words), 100_000):
+                cut, k = Cut(words[s : s + 100_000]), times[s : s + 100_000]
+                for kind in range(1, WORD + 1):
+                    at, keys = cut.grams(kind) if kind < WORD else (None, cut.words())
+                    own, inverse = np.unique(keys, return_inverse=True)
+                    n = np.bincount(inverse, weights=k if at is None else k[cut.owner[at]], minlength=len(own)).astype(np.int64)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(own), kind, np.int8)), pa.array(own.view(np.int64)), pa.array(np.full(len(own), lang, np.int32)), pa.array(n)], ["kind", "key", "lang", "n"])
 
     counts = sample.mapInArrow(count, "kind tinyint, key bigint, lang int, n bigint").groupBy("kind", "key", "lang").agg(F.sum("n").alias("n"))
     found = materialize(counts).toArrow()  # bounded by the sample
