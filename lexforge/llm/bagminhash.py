@@ -263,7 +263,8 @@ def near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
     similar = F.least("size", "other") >= threshold * F.greatest("size", "other")
     first = materialize(members.filter("node <> leader").filter(similar).select(F.col("leader").alias("u"), F.col("node").alias("v")).distinct())
     wanted = members.select("node").distinct().join(nodes, "node").select("least", "node")
-    texts = rows_of(docs.select(F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("text")), wanted, id_col="id", text_col="text").select("node", "doc.text")
+    # Written once: both comparisons read them, and would fetch them by id again.
+    texts = materialize(rows_of(docs.select(F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("text")), wanted, id_col="id", text_col="text").select("node", "doc.text"))
     links = materialize(_verified(first, texts, threshold))
     roots = materialize(components(links))
     # Members of a bucket that the leader has not brought into one component are compared with those of the others.
