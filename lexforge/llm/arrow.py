@@ -11,7 +11,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType, _parse_datatype_string
 
 #: Characters of text that one step of an operator holds at a time, whatever the size of the Arrow batch.
-BLOCK_CHARS = 4_000_000
+BLOCK_CHARS = 1_500_000
 
 
 def blocks(batches: Iterator[pa.RecordBatch], text: str, most: int = BLOCK_CHARS) -> Iterator[tuple[pa.RecordBatch, list[str]]]:

@@ -49,7 +49,7 @@ class _Words(dict):
     """64-bit hashes of recent words; forgetting costs time only."""
 
     def __missing__(self, word: str) -> int:
-        if len(self) > 500_000:
+        if len(self) > 200_000:
             self.clear()
         h = self[word] = xxhash.xxh3_64_intdigest(word)
         return h
