@@ -59,6 +59,10 @@ def counted_after(numeral: str, counter: str) -> str:
     return numeral + counter
 
 
+#: The voiced kana that are spelled as they sound.
+SOUNDS_LIKE = {"ち": "じ", "つ": "ず"}
+
+
 def joined_reading(known: list[str], joined: str, seam: int) -> str | None:
     """The reading of two words joined at a place, given the readings known for the whole.
 
@@ -68,7 +72,7 @@ def joined_reading(known: list[str], joined: str, seam: int) -> str | None:
     if not known or joined in known:
         return joined
     head, tail = joined[:seam], joined[seam:]
-    heads = {tail[:1], VOICE.get(tail[:1]), HALF.get(tail[:1])} - {None, ""}
+    heads = {tail[:1], VOICE.get(tail[:1]), HALF.get(tail[:1]), SOUNDS_LIKE.get(tail[:1])} - {None, ""}
     for reading in known:
         if any(reading == head + h + tail[1:] for h in heads):
             return reading

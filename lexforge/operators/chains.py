@@ -5,13 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexforge.operators.units import in_order
+from lexforge.operators.units import ngrams
 
 
 def chains(units: DataFrame, n: int, min_count: int = 1, min_docs: int = 1) -> DataFrame:
     """(p1, ..., pn, n, docs): the runs of n adjacent units, how often and in how many documents they occur."""
-    w = in_order()
-    found = units.select("k", "i", F.col("reading").alias("p1"), *[F.lead("reading", j).over(w).alias(f"p{j + 1}") for j in range(1, n)]).filter(f"p{n} is not null")
+    found = ngrams(units, n).select("k", F.col("reading").alias("p1"), *[F.col(f"n{j}").alias(f"p{j}") for j in range(2, n + 1)]).filter(f"p{n} is not null")
     parts = [f"p{j}" for j in range(1, n + 1)]
     # A row for each document first: the distinct count then needs no second copy of the rows.
     per_doc = found.groupBy("k", *parts).agg(F.count("*").alias("n"))

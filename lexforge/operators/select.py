@@ -6,14 +6,17 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def before_each(rows: DataFrame, bucket: Column, order: list[str], size: Column, name: str = "before") -> DataFrame:
+def before_each(rows: DataFrame, bucket: Column, order: list[str], size: Column, name: str = "before", below: int | None = None) -> DataFrame:
     """Add the sum of `size` over all rows that come before in the order. `bucket` must not decrease in that order.
 
-    Sums by bucket (a bounded number of them) are accumulated first, so that no task sees more than a bucket's rows.
+    Sums by bucket (a bounded number of them) are accumulated first, so that no task sees more than a bucket's rows. With `below`,
+    buckets whose first row already has that much before it are left out before their rows are shuffled.
     """
     rows = rows.withColumn("_bucket", bucket).withColumn("_size", size)
     sums = rows.groupBy("_bucket").agg(F.sum("_size").alias("_sum"))
     above = sums.select("_bucket", F.coalesce(F.sum("_sum").over(Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_above"))
+    if below is not None:
+        above = above.filter(F.col("_above") < below)
     inside = Window.partitionBy("_bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     out = rows.join(above, "_bucket").withColumn(name, F.col("_above") + F.coalesce(F.sum("_size").over(inside), F.lit(0)))
     return out.drop("_bucket", "_size", "_above")
@@ -22,13 +25,13 @@ def before_each(rows: DataFrame, bucket: Column, order: list[str], size: Column,
 def hash_budget(docs: DataFrame, key: str, chars: Column, budget: int) -> DataFrame:
     """The documents in order of their key's SHA-256 until the budget is reached; the one that crosses it is kept. 4,096 buckets of hashes."""
     hashed = docs.withColumn("_hash", F.sha2(F.col(key), 256))
-    taken = before_each(hashed, F.substring("_hash", 1, 3), ["_hash", key], chars)
+    taken = before_each(hashed, F.substring("_hash", 1, 3), ["_hash", key], chars, below=budget)
     return taken.filter(F.col("before") < budget).drop("_hash")
 
 
 def order_budget(docs: DataFrame, order: str, chars: Column, budget: int, width: int = 4096) -> DataFrame:
     """The same in the order of a number, such as a place in a file."""
-    return before_each(docs, F.floor(F.col(order) / width), [order], chars).filter(F.col("before") < budget)
+    return before_each(docs, F.floor(F.col(order) / width), [order], chars, below=budget).filter(F.col("before") < budget)
 
 
 def sample_by_hash(rows: DataFrame, line: Column, n: int, strata: list[str] | None = None) -> DataFrame:

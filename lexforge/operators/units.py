@@ -16,10 +16,23 @@ def keyed(docs: DataFrame, *parts: str) -> DataFrame:
     return docs.select(k.alias("k"), "text").select("k", kind_of(F.col("k")).alias("kind"), split_bucket(F.col("k")).alias("b"), "text")
 
 
-def tokens(docs: DataFrame, pattern: str = TOKEN) -> DataFrame:
-    """(k, kind, b, i, surface, reading): the tokens of the Latin profile with their ordinal; a narrow operation."""
-    found = docs.select("k", "kind", "b", F.posexplode(F.regexp_extract_all("text", F.lit(pattern), 1)).alias("i", "surface"))
-    return found.withColumn("reading", F.lower("surface"))
+def tokens(docs: DataFrame, pattern: str = TOKEN, near: dict[str, tuple[str, int]] | None = None) -> DataFrame:
+    """(k, kind, b, i, surface, reading): the tokens of the Latin profile with their ordinal; a narrow operation.
+
+    `near` adds columns of neighbours: name -> (surface or reading, how many places on, or back if negative), null beyond the ends.
+    They come from the document's own array of tokens, so no shuffle brings neighbours together.
+    """
+    found = docs.select("k", "kind", "b", F.regexp_extract_all("text", F.lit(pattern), 1).alias("_all"))
+    if not near:
+        return found.select("k", "kind", "b", F.posexplode("_all").alias("i", "surface")).withColumn("reading", F.lower("surface"))
+    own = lambda x, i: F.struct(i.alias("i"), x.alias("surface"), *[F.get("_all", i + at).alias(name) for name, (_, at) in near.items()])
+    out = found.select("k", "kind", "b", F.inline(F.transform("_all", own))).withColumn("reading", F.lower("surface"))
+    return out.withColumns({name: F.lower(name) for name, (what, _) in near.items() if what == "reading"})
+
+
+def ahead(n: int) -> dict[str, tuple[str, int]]:
+    """The neighbours n2, ..., nn of `ngrams`, for `tokens`."""
+    return {f"n{j}": ("reading", j - 1) for j in range(2, n + 1)}
 
 
 def lines(docs: DataFrame) -> DataFrame:
@@ -36,7 +49,9 @@ def in_order(by: str = "i", key: str = "k"):
 
 
 def ngrams(units: DataFrame, n: int) -> DataFrame:
-    """Add n2, n3, ...: the readings of the next n - 1 units of the document, null at its end."""
+    """Add n2, n3, ...: the readings of the next n - 1 units of the document, null at its end; units that `tokens` gave them stay as they are."""
+    if f"n{n}" in units.columns:
+        return units
     w = in_order()
     return units.withColumns({f"n{j}": F.lead("reading", j - 1).over(w) for j in range(2, n + 1)})
 

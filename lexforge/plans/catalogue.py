@@ -24,13 +24,14 @@ _TOKENS_SQL = """with d as (select concat_ws(':', source, doc_id::varchar) k, te
 """
 
 
-def query(sql: str | None, tokens: bool = False):
-    """Register a query with its SQL; with `tokens`, the SQL starts from the tokens `t`."""
+def query(sql: str | None, tokens: bool | str = False):
+    """Register a query with its SQL; with `tokens`, the SQL starts from the tokens `t`, with "once" it reads them once."""
 
     def add(f):
         QUERIES[f.__name__] = f
         if sql is not None:
-            ORACLE[f.__name__] = _TOKENS_SQL + sql if tokens else sql
+            once = _TOKENS_SQL.replace(" t as (", " t as materialized (") if tokens == "once" else _TOKENS_SQL
+            ORACLE[f.__name__] = once + sql if tokens else sql
         return f
 
     return add
@@ -40,8 +41,12 @@ def docs_of(spark: SparkSession, sf: str) -> DataFrame:
     return units.keyed(table(spark, sf, "documents"), "source", "doc_id")
 
 
-def tokens_of(spark: SparkSession, sf: str) -> DataFrame:
-    return units.tokens(docs_of(spark, sf))
+def tokens_of(spark: SparkSession, sf: str, near: dict[str, tuple[str, int]] | None = None) -> DataFrame:
+    return units.tokens(docs_of(spark, sf), near=near)
+
+
+#: Neighbours that come from a document's own array of tokens.
+NEXT, LAST, SPANNED = {"nx": ("reading", 1)}, {"lf": ("reading", -1)}, {"s2": ("surface", 1), "r2": ("reading", 1)}
 
 
 def train(t: DataFrame) -> DataFrame:
@@ -231,8 +236,8 @@ def lexicon_merge(spark, sf):
 @query(""", p as (select reading, surface, lead(reading) over (partition by k order by i) nx, b from t), q as (select reading || '*' || substr(nx,1,1) reading, surface from p where b >= 10 and length(nx) <= 3)
 select reading, surface, count(*)::BIGINT n, (round(-100 * ln(count(*)::double / (select count(*) from t where b >= 10))) + 400)::INT as "cost" from q group by all having count(*) >= 10""", tokens=True)
 def pair_lines(spark, sf):
-    t = train(tokens_of(spark, sf))
-    p = t.withColumn("nx", F.lead("reading").over(units.in_order())).filter(F.length("nx") <= 3)
+    t = train(tokens_of(spark, sf, NEXT))
+    p = t.filter(F.length("nx") <= 3)
     p = p.select(words.particle_line(F.col("reading"), F.col("surface"), F.col("nx")).alias("l")).select("l.*")
     return dictionary.pair_lines(p, t.agg(F.count("*").alias("total")), 10)
 
@@ -273,40 +278,40 @@ def list_cost(spark, sf):
 
 @query(""", c as (select k, reading p1, lead(reading) over (partition by k order by i) p2 from t) select p1, p2, count(*)::BIGINT n, count(distinct k)::BIGINT docs from c where p2 is not null group by all having count(*) >= 10 and count(distinct k) >= 5""", tokens=True)
 def chain2(spark, sf):
-    return chains.chains(tokens_of(spark, sf), 2, 10, 5)
+    return chains.chains(tokens_of(spark, sf, units.ahead(2)), 2, 10, 5)
 
 
 @query(""", c as (select k, reading p1, lead(reading) over (partition by k order by i) p2, lead(reading,2) over (partition by k order by i) p3 from t) select p1, p2, p3, count(*)::BIGINT n, count(distinct k)::BIGINT docs from c where p3 is not null group by all having count(*) >= 10 and count(distinct k) >= 5""", tokens=True)
 def chain3(spark, sf):
-    return chains.chains(tokens_of(spark, sf), 3, 10, 5)
+    return chains.chains(tokens_of(spark, sf, units.ahead(3)), 3, 10, 5)
 
 
 @query(""", nm as (select distinct lower(s) w from (select unnest(regexp_extract_all(text,'\\p{L}+')) s from benchmark) where length(s) >= 4),
  c as (select k, reading p1, lead(reading) over (partition by k order by i) p2 from t) select p1, p2, count(*)::BIGINT n from c semi join nm on c.p1 = nm.w where p2 in (select w from nm) group by all having count(*) >= 2""", tokens=True)
 def chain_names(spark, sf):
     names = table(spark, sf, "benchmark").select(F.explode(F.regexp_extract_all("text", F.lit(units.TOKEN), 1)).alias("w")).filter("length(w) >= 4").select(F.lower("w").alias("w")).distinct()
-    c = chains.chains(tokens_of(spark, sf), 2, 2)
+    c = chains.chains(tokens_of(spark, sf, units.ahead(2)), 2, 2)
     return c.join(names, c["p1"] == names["w"], "left_semi").join(names.withColumnRenamed("w", "w2"), F.col("p2") == F.col("w2"), "left_semi").select("p1", "p2", "n")
 
 
 @query(""", x as (select reading, lag(reading) over (partition by k order by i) lf from t), c as (select reading, lf, count(*) n from x group by all), s as (select reading, sum(n) tot from c group by reading having sum(n) >= 50)
 select reading, s.tot::BIGINT total, round(-sum(n / s.tot * log2(n / s.tot)), 6) + 0.0 entropy from c join s using (reading) group by all""", tokens=True)
 def side_entropy(spark, sf):
-    x = tokens_of(spark, sf).withColumn("lf", F.lag("reading").over(units.in_order())).groupBy("reading", "lf").agg(F.count("*").alias("n"))
+    x = tokens_of(spark, sf, LAST).groupBy("reading", "lf").agg(F.count("*").alias("n"))
     return patterns.entropy(x, ["reading"]).filter("total >= 50").withColumn("entropy", F.round("entropy", 6))
 
 
 @query(""", x as (select reading, lag(reading) over (partition by k order by i) lf from t) select reading, count(*)::BIGINT total, round(count(*) filter (lf is null or length(lf) <= 2) / count(*), 6) apart from x group by reading having count(*) >= 50""", tokens=True)
 def apart_share(spark, sf):
-    x = tokens_of(spark, sf).withColumn("ch", F.lag("reading").over(units.in_order()))
+    x = tokens_of(spark, sf, LAST).withColumnRenamed("lf", "ch")
     n = x.groupBy(F.col("reading").alias("pattern"), "ch").agg(F.count("*").alias("n")).withColumn("side", F.lit("before"))
     return chains.apart_share(n, F.length("ch") <= 2).filter("total >= 50").select(F.col("pattern").alias("reading"), "total", F.round("apart", 6).alias("apart"))
 
 
 @query(""", u as (select reading, count(*) n from t group by all), c as (select reading p1, lead(reading) over (partition by k order by i) p2 from t), p as (select p1, p2, count(*) n from c where p2 is not null group by all having count(*) >= 5)
-select p1, p2, p.n::BIGINT n, round(p.n / greatest(1, least(a.n, b.n)), 9) cohesion from p join u a on a.reading = p1 join u b on b.reading = p2""", tokens=True)
+select p1, p2, p.n::BIGINT n, round(p.n / greatest(1, least(a.n, b.n)), 9) cohesion from p join u a on a.reading = p1 join u b on b.reading = p2""", tokens="once")
 def cohesion(spark, sf):
-    t = tokens_of(spark, sf)
+    t = tokens_of(spark, sf, units.ahead(2))
     pairs = chains.chains(t, 2, 5).select("p1", "p2", "n")
     return chains.cohesion(pairs, t.groupBy("reading").agg(F.count("*").alias("n"))).select("p1", "p2", "n", F.round("cohesion", 9).alias("cohesion"))
 
@@ -329,8 +334,7 @@ _SPANS = """, x as (select *, lead(surface) over (partition by k order by i) s2,
 
 def _spanned(t: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Units, compounds and joined units, with spans in token places."""
-    w = units.in_order()
-    x = t.withColumns({"s2": F.lead("surface").over(w), "r2": F.lead("reading").over(w)}).withColumns({"start": F.col("i"), "end": F.col("i") + 1})
+    x = t.withColumns({"start": F.col("i"), "end": F.col("i") + 1})
     compounds = x.filter("length(surface) >= 6 and length(s2) >= 6").select("k", "start", (F.col("start") + 2).alias("end"))
     joined = x.filter("length(surface) <= 3 and length(s2) >= 6").select(
         "k", "kind", "start", (F.col("start") + 2).alias("end"), F.concat_ws(" ", "surface", "s2").alias("surface"), F.concat_ws(" ", "reading", "r2").alias("reading"), F.col("surface").alias("a"), F.col("reading").alias("ra"), F.col("s2").alias("b2"), F.col("r2").alias("rb")
@@ -340,23 +344,23 @@ def _spanned(t: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
 
 @query(_SPANS + " select kind, count(*)::BIGINT units, count(*) filter (exists(select 1 from comp c where c.k = t.k and c.s <= t.i and c.e >= t.i + 1))::BIGINT inside from t group by kind", tokens=True)
 def span_cover(spark, sf):
-    u, compounds, _ = _spanned(tokens_of(spark, sf))
+    u, compounds, _ = _spanned(tokens_of(spark, sf, SPANNED))
     return intervals.covered(u.select("k", "kind", "start", "end"), compounds).groupBy("kind").agg(F.count("*").alias("units"), F.count_if("inside").alias("inside"))
 
 
 @query(_SPANS + """, m as (select k, kind, i s, i + 3 e from t t0 where i % 3 = 0 and exists(select 1 from t t1 where t1.k = t0.k and t1.i = t0.i + 2))
  select kind, count(*)::BIGINT units from m where not exists(select 1 from comp c where c.k = m.k and m.s < c.e and m.e > c.s and (m.s < c.s or m.e > c.e)) group by kind""", tokens=True)
 def span_runout(spark, sf):
-    t = tokens_of(spark, sf)
+    t = tokens_of(spark, sf, SPANNED | {"later": ("surface", 2)})
     _, compounds, _ = _spanned(t)
-    m = t.withColumn("later", F.lead("i", 2).over(units.in_order())).filter("i % 3 = 0 and later is not null").select("k", "kind", F.col("i").alias("start"), (F.col("i") + 3).alias("end"))
+    m = t.filter("i % 3 = 0 and later is not null").select("k", "kind", F.col("i").alias("start"), (F.col("i") + 3).alias("end"))
     return intervals.not_running_out(m, compounds).groupBy("kind").agg(F.count("*").alias("units"))
 
 
 @query(_SPANS + """, u as (select surface, exists(select 1 from comp c where c.k = t.k and c.s <= t.i and c.e >= t.i + 1) inside from t)
  select surface, count(*) filter (inside)::BIGINT inside, count(*)::BIGINT places from u group by surface having count(*) filter (inside) * 4 >= count(*) * 3 and count(*) >= 2""", tokens=True)
 def fragments(spark, sf):
-    u, compounds, _ = _spanned(tokens_of(spark, sf))
+    u, compounds, _ = _spanned(tokens_of(spark, sf, SPANNED))
     return dictionary.fragments(intervals.covered(u.select("k", "start", "end", "surface"), compounds), 2)
 
 
@@ -367,7 +371,7 @@ def _established(joined: DataFrame, compounds: DataFrame) -> DataFrame:
 
 @query(_SPANS + " select reading, surface, n::BIGINT n from est", tokens=True)
 def established(spark, sf):
-    _, compounds, joined = _spanned(tokens_of(spark, sf))
+    _, compounds, joined = _spanned(tokens_of(spark, sf, SPANNED))
     return _established(joined, compounds)
 
 
@@ -382,14 +386,14 @@ def _typed(joined: DataFrame, est: DataFrame, with_nouns: bool) -> DataFrame:
 @query(_SPANS + """, y as (select j.*, est.n is not null known from jin j left join est using (reading, surface)),
  o as (select reading, surface from y where known union all select ra, a from y where not known union all select rb, b2 from y where not known) select reading, surface, count(*)::BIGINT n from o group by all having count(*) >= 3""", tokens=True)
 def as_typed(spark, sf):
-    _, compounds, joined = _spanned(tokens_of(spark, sf))
+    _, compounds, joined = _spanned(tokens_of(spark, sf, SPANNED))
     return _typed(joined, _established(joined, compounds), False).groupBy("reading", "surface").agg(F.count("*").alias("n")).filter("n >= 3")
 
 
 @query(_SPANS + """, y as (select j.*, est.n is not null known from jin j left join est using (reading, surface)),
  o as (select reading, surface from y where known union all select ra, a from y where not known union all select rb, b2 from y) select reading, surface, count(*)::BIGINT n from o group by all having count(*) >= 3""", tokens=True)
 def as_counted(spark, sf):
-    _, compounds, joined = _spanned(tokens_of(spark, sf))
+    _, compounds, joined = _spanned(tokens_of(spark, sf, SPANNED))
     return _typed(joined, _established(joined, compounds), True).groupBy("reading", "surface").agg(F.count("*").alias("n")).filter("n >= 3")
 
 
@@ -427,7 +431,7 @@ select ti.title, count(c.title)::BIGINT n from ti left join c using (title) grou
 def title_reads(spark, sf):
     s = F.regexp_extract_all("text", F.lit(units.TOKEN), 1)
     titles = table(spark, sf, "benchmark").select(F.lower(F.concat_ws(" ", F.get(s, 0), F.get(s, 1))).alias("title")).distinct()
-    c = chains.chains(tokens_of(spark, sf), 2).select(F.concat_ws(" ", "p1", "p2").alias("title"), "n")
+    c = chains.chains(tokens_of(spark, sf, units.ahead(2)), 2).select(F.concat_ws(" ", "p1", "p2").alias("title"), "n")
     return titles.join(c, "title", "left").select("title", F.coalesce("n", F.lit(0).cast("long")).alias("n"))
 
 

@@ -70,12 +70,20 @@ def chain_words(lines: DataFrame) -> DataFrame:
     return lines.filter(keep).groupBy(s.alias("surface")).agg(F.array_sort(F.collect_set(F.get(p, 0))).alias("readings"))
 
 
-def symbol_pairs(lines: DataFrame, surface_at: int, readings_at: int) -> DataFrame:
-    """(at, reading, surface) in order of a table's lines (line_no, value): header and comments dropped, readings split at spaces, hentaigana left out."""
+def symbol_pairs(lines: DataFrame, surface_at: int, readings_at: int, *, symbols: bool = False) -> DataFrame:
+    """(at, reading, surface) in order of a table's lines (line_no, value): comments and surfaces that start with # dropped, readings split at spaces.
+
+    The symbol table (`symbols`) has a header, a first line that starts with POS, and hentaigana, which are left out as well.
+    """
     p = F.split("value", "\t")
-    rows = lines.filter((F.col("line_no") > 0) & ~F.col("value").startswith("#")).select("line_no", F.get(p, surface_at).alias("surface"), F.get(p, readings_at).alias("r"))
-    out = rows.filter("surface <> ''").select("line_no", "surface", F.posexplode(F.split("r", "[ \u3000]+")).alias("n", "reading")).filter("reading <> ''")
-    return out.filter(~F.col("surface").rlike("[\\x{1B000}-\\x{1B16F}]")).select(F.struct("line_no", "n").alias("at"), "reading", "surface")
+    kept = ~F.col("value").startswith("#")
+    if symbols:
+        kept &= ~((F.col("line_no") == 0) & F.col("value").startswith("POS\t"))
+    rows = lines.filter(kept).select("line_no", F.get(p, surface_at).alias("surface"), F.get(p, readings_at).alias("r"))
+    out = rows.filter((F.col("surface") != "") & ~F.col("surface").startswith("#")).select("line_no", "surface", F.posexplode(F.split("r", "[ \u3000]+")).alias("n", "reading")).filter("reading <> ''")
+    if symbols:
+        out = out.filter(~F.col("surface").rlike("[\\x{1B000}-\\x{1B16F}]"))
+    return out.select(F.struct("line_no", "n").alias("at"), "reading", "surface")
 
 
 def kanji_readings(lines: DataFrame) -> DataFrame:
@@ -126,6 +134,7 @@ def station_reading(reading: Column, label: Column) -> Column:
 def stations(rows: DataFrame) -> DataFrame:
     """(item, label, readings, links) of (line_no, item, kana, label, links): one row for each item; the label is the first row's."""
     one = rows.withColumn("s", station_reading(literal(F.col("kana")), literal(F.col("label")))).withColumn("links", F.coalesce(F.try_to_number(literal(F.col("links")), F.lit("999999")).cast("int"), F.lit(0)))
+    one = one.filter(kana.has_kanji(F.col("s.surface")) & F.col("s.surface").rlike(f"^[{kana.KANJI}{kana.HIRAGANA}{kana.KATAKANA}{kana.LONG}]+$"))
     return one.groupBy(entity(F.col("item")).alias("item")).agg(F.min_by("s.surface", "line_no").alias("label"), F.array_sort(F.collect_set("s.reading")).alias("readings"), F.max("links").alias("links"))
 
 

@@ -2,6 +2,7 @@ import itertools
 
 from lexforge.functions import readings as r
 from lexforge.operators import japanese as j
+from tests.cases import line
 
 
 def test_counters_change_after_numbers():
@@ -37,7 +38,7 @@ def test_alignments():
 
 
 def test_affixes_are_joined_unless_the_lexicon_reads_otherwise():
-    t = j.parse_tokens("大/おお/接頭辞 川/かわ/名詞 的/てき/接尾辞,名詞的 な/な/助動詞")
+    t = line(("大", "おお", "接頭辞"), ("川", "かわ", "名詞"), ("的", "てき", "接尾辞-名詞的"), ("な", "な", "助動詞"))
     words, parts = j.join_affixes(t, {})
     assert [(x.surface, x.reading) for x in words] == [("大川的", "おおかわてき"), ("な", "な")] and [p.surface for p in parts[0]] == ["大", "川", "的"]
     words, parts = j.join_affixes(t, {"大川": ["おおがわ"]})
@@ -46,13 +47,21 @@ def test_affixes_are_joined_unless_the_lexicon_reads_otherwise():
 
 
 def test_auxiliaries_are_joined_to_stems():
-    t = "書き/かき/動詞,一般,*,*,五段-カ行,連用形-一般/書く 始め/はじめ/動詞,非自立可能,*,*,下一段-マ行,連用形-一般/始める"
-    words, made = j.join_auxiliaries(j.parse_tokens(t))
-    assert [(x.surface, x.dictionary_form) for x in words] == [("書き始め", "書き始める")] and made == {0}
-    assert len(j.join_auxiliaries(j.parse_tokens("お/お/接頭辞 " + t))[0]) == 3
-    assert len(j.join_auxiliaries(j.parse_tokens(t.replace("始める", "致す")))[0]) == 2
+    verb = ("歩き", "あるき", "動詞-一般", ("五段-カ行", "連用形-一般"), "歩く")
+    more = lambda form: (form[:-1], "つづけ", "動詞-非自立可能", ("下一段-カ行", "連用形-一般"), form)
+    words, made = j.join_auxiliaries(line(verb, more("続ける")))
+    assert [(x.surface, x.dictionary_form) for x in words] == [("歩き続け", "歩き続ける")] and made == {0}
+    assert len(j.join_auxiliaries(line(("お", "お", "接頭辞"), verb, more("続ける")))[0]) == 3
+    assert len(j.join_auxiliaries(line(verb, more("致す")))[0]) == 2
+    assert [x.surface for x in j.join_auxiliaries(line(verb, more("続ける"), ("やすい", "やすい", "接尾辞-形容詞的", ("形容詞", "終止形-一般"))))[0]] == ["歩き続けやすい"]
+    assert len(j.join_auxiliaries(line(("静か", "しずか", "形状詞-一般"), ("っぽい", "っぽい", "接尾辞-形容詞的", ("形容詞", "終止形-一般"))))[0]) == 1
 
 
 def test_numbers_with_counters():
-    out = j.numeric_units(j.parse_tokens("第/だい/接頭辞 三/さん/名詞,数詞 回/かい/名詞,普通名詞,助数詞可能 と/と/助詞 二十/にじゅう/名詞,数詞 一/いち/名詞,数詞 本/ほん/名詞,普通名詞,助数詞可能 目/め/接尾辞"))
+    number, counter = "名詞-数詞", "名詞-普通名詞-助数詞可能"
+    out = j.numeric_units(line(("第", "だい", "接頭辞"), ("三", "さん", number), ("回", "かい", counter), ("と", "と", "助詞"), ("二十", "にじゅう", number), ("一", "いち", number), ("本", "ほん", counter), ("目", "め", "接尾辞")))
     assert [(u["position"], u["reading"], u["surface"], u["value"], u["kana"]) for u in out] == [(0, "だい{}かい", "第{kanji}回", "3", "だいさんかい"), (4, "{}ほんめ", "{kanji}本目", "21", "にじゅういっぽんめ")]
+
+
+def test_seams_that_are_spelled_as_they_sound():
+    assert r.joined_reading(["はなじ", "かち"], "はなち", 2) == "はなじ" and r.joined_reading(["みかずき", "あ"], "みかつき", 2) == "みかずき"

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from lexforge.functions import kana, markup, numerals, words
 from lexforge.operators import chains, dictionary, evaluate, intervals, japanese, patterns, select
 from lexforge.sources import documents, lists, robots
+from tests.cases import line
+from tests.cases import line as line_of
 
 
 def one(spark, column):
@@ -54,14 +56,16 @@ def test_line_functions(spark):
 
 def test_numbers():
     r = random.Random(1)
-    for notation in ("half", "full", "grouped", "kanji", "digits", "mixed"):
+    for notation in ("half", "full", "grouped", "kanji", "digits", "daiji"):
         for _ in range(300):
             value = r.randrange(10 ** r.randrange(1, 18))
             text = numerals.write_number(value, notation)
-            assert numerals.read_number_of(text)[1] == value
-    assert numerals.read_number_of("二十三") == ("kanji", 23) and numerals.read_number_of("二〇二六") == ("digits", 2026) and numerals.read_number_of("3万") == ("mixed", 30000)
-    assert numerals.read_number_of("1,23") is None and numerals.read_number_of("007") is None and numerals.read_number_of("x") is None
-    assert numerals.number_run_of("第二十三回", 23) == (1, 4)
+            assert int(numerals.read_number_of(text)[1]) == value
+    assert numerals.read_number_of("二十三") == ("kanji", "23") and numerals.read_number_of("二〇二六") == ("digits", "2026") and numerals.read_number_of("3万") is None
+    assert numerals.read_number_of("1,23") is None and numerals.read_number_of("x") is None
+    typed = {"007": ("half", "007"), "０５": ("full", "05"), "〇五": ("digits", "05"), "9" * 25: ("half", "9" * 25), "壱拾弐": ("daiji", "12"), "壱千参百": ("daiji", "1300")}
+    assert {k: numerals.read_number_of(k) for k in typed} == typed and all(numerals.read_number_of(x) is None for x in ("千弐百", "拾弐", "万", "0,123", "一億億"))
+    assert numerals.number_run_of("第二十三回", 23) == (1, 4) and numerals.number_run_of("金壱拾弐円", 12) == (1, 4)
 
 
 def test_markup(spark):
@@ -106,7 +110,7 @@ def test_nihon(spark):
 
 
 def test_stations(spark):
-    raw = [(1, "<http://www.wikidata.org/entity/Q2256123>", '"でまちやなぎえき"', '"出町柳駅"@ja', '"12"'), (2, "<http://www.wikidata.org/entity/Q2256123>", '"デマチヤナギ"', '"出町柳駅"@ja', '"12"'), (3, "<http://www.wikidata.org/entity/Q1>", '"さんじょう"', '"三条駅 (京都府)"@ja', None)]
+    raw = [(1, "<http://www.wikidata.org/entity/Q2256123>", '"でまちやなぎえき"', '"出町柳駅"@ja', '"12"'), (2, "<http://www.wikidata.org/entity/Q2256123>", '"デマチヤナギ"', '"出町柳駅"@ja', '"12"'), (3, "<http://www.wikidata.org/entity/Q1>", '"さんじょう"', '"三条駅 (京都府)"@ja', None), (4, "<http://www.wikidata.org/entity/Q2>", '"えーえき"', '"Aえき"@ja', None), (5, "<http://www.wikidata.org/entity/Q3>", '"ひがしえき"', '"東A駅"@ja', None)]
     s = lists.stations(spark.createDataFrame(raw, "line_no int, item string, kana string, label string, links string"))
     assert rows(s) == [("Q1", "三条駅", ["さんじょうえき"], 0), ("Q2256123", "出町柳駅", ["でまちやなぎえき"], 12)]
     assert ("でまちやなぎ", "出町柳", 12) in rows(lists.station_lines(s))
@@ -115,8 +119,10 @@ def test_stations(spark):
 def test_symbols_and_kanji(spark):
     tsv = "POS\tCHAR\tReading\tdescription\n句読点\t、\tとうてん , 、\t読点\n\t\t\t\t\t\t\t# x\n# Hentaigana\n記号\t\U0001b000\tへんたいがな え\t変体仮名\n記号\t→\tやじるし　みぎ\t右矢印"
     df = spark.createDataFrame(list(enumerate(tsv.split("\n"))), "line_no int, value string")
-    out = lists.symbol_pairs(df, 1, 2).orderBy("at").select("reading", "surface").collect()
+    out = lists.symbol_pairs(df, 1, 2, symbols=True).orderBy("at").select("reading", "surface").collect()
     assert [tuple(r) for r in out] == [("とうてん", "、"), (",", "、"), ("、", "、"), ("やじるし", "→"), ("みぎ", "→")]
+    emoji = spark.createDataFrame([(0, "x\t→\tみぎ"), (1, "x\t#1\tいち"), (2, "x\t\U0001b000\tえ")], "line_no int, value string")
+    assert [tuple(r) for r in lists.symbol_pairs(emoji, 1, 2).orderBy("at").select("reading", "surface").collect()] == [("みぎ", "→"), ("え", "\U0001b000")]
     assert rows(lists.unihan_readings(spark.createDataFrame([("U+4E00\tkJapanese\tイチ イツ ひと",), ("U+4E00\tkOther\tx",)], "value string"))) == [("いち", "一"), ("いつ", "一")]
     assert one(spark, lists.unescaped(F.lit("a\\u3042b\\u{1F600}"))) == "aあb😀"
 
@@ -131,18 +137,27 @@ def test_small_parsers():
 
 
 def test_corrections_and_take_in():
-    t = japanese.parse_tokens("二十/にじゅう/名詞,数詞 三/さん/名詞,数詞 分/ふん/名詞 三分/さんぶん/名詞")
-    out = japanese.corrected(t, {"三分": "さんぷん", "三": "み"})
-    assert [(x.surface, x.reading) for x in out] == [("二十", "にじゅう"), ("三", "さん"), ("分", "ふん"), ("三分", "さんぷん")]
-    u = japanese.units_of(japanese.parse_tokens("食べ/たべ/動詞,一般,*,*,下一段-バ行,未然形/食べる られ/られ/助動詞 ない/ない/助動詞"))
-    assert [(x["reading"], x["stem_reading"], x["stem_surface"], x["conjugation"]) for x in u] == [("たべられない", "たべ", "食べ", "下一段-バ行")]
-    u = japanese.units_of(japanese.parse_tokens("書い/かい/動詞,一般,*,*,五段-カ行,連用形/書く て/て/助詞,接続助詞 い/い/動詞,非自立可能,*,*,上一段-ア行,連用形/いる"))
-    assert [x["surface"] for x in u] == ["書いて"]
+    t = line(("四十", "よんじゅう", "名詞-数詞"), ("一", "いち", "名詞-数詞"), ("本", "ほん", "名詞"), ("一本", "いちほん", "名詞"))
+    out = japanese.corrected(t, {"一本": "いっぽん", "一": "ひと"})
+    assert [(x.surface, x.reading) for x in out] == [("四十", "よんじゅう"), ("一", "いち"), ("本", "ほん"), ("一本", "いっぽん")]
+    u = japanese.units_of(line(("投げ", "なげ", "動詞-一般", ("下一段-ガ行", "未然形-一般"), "投げる"), ("られ", "られ", "助動詞"), ("ない", "ない", "助動詞")))
+    assert [(x["reading"], x["stem_reading"], x["stem_surface"], x["conjugation"]) for x in u] == [("なげられない", "なげ", "投げ", "下一段-ガ行")]
+    u = japanese.units_of(line(("読ん", "よん", "動詞-一般", ("五段-マ行", "連用形-撥音便"), "読む"), ("で", "で", "助詞-接続助詞"), ("い", "い", "動詞-非自立可能", ("上一段-ア行", "連用形-一般"), "いる")))
+    assert [x["surface"] for x in u] == ["読んで"]
+
+
+def test_stems_that_read_otherwise():
+    stem = lambda *word: japanese.stem_of(line(word)[0], word[3][0])
+    assert stem("高い", "たかい", "形容詞-一般", ("形容詞", "終止形-一般"), "高い") == ("たか", "高")
+    assert stem("高う", "たこう", "形容詞-一般", ("形容詞", "連用形-ウ音便"), "高い") is None
+    assert stem("問う", "とう", "動詞-一般", ("五段-ワア行", "連用形-ウ音便"), "問う") == ("と", "問")
+    assert stem("有", "あり", "動詞-一般", ("五段-ラ行", "連用形-一般"), "有る") is None
+    assert stem("見", "み", "動詞-一般", ("上一段-マ行", "連用形-一般"), "見る") == ("み", "見") and stem("改", "あらため", "動詞-一般", ("下一段-マ行", "連用形-一般"), "改る") is None
 
 
 def test_japanese_units_have_document_positions(spark):
     def tokenize(line):
-        return japanese.parse_tokens(" ".join(f"{c}/あ/名詞" for c in line))
+        return line_of(*[(c, "あ", "名詞") for c in line])
 
     docs = spark.createDataFrame([("a:1", "山川\n海")], "doc_id string, text string")
     assert [tuple(r)[1:4] for r in japanese.units(docs, tokenize).orderBy("position").collect()] == [(0, "あ", "山"), (1, "あ", "川"), (3, "あ", "海")]
