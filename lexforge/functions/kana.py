@@ -98,3 +98,9 @@ def middle_script(char: Column) -> Column:
         .when(char.rlike("^\\p{N}"), "digit")
         .otherwise("other")
     )
+
+
+def read_as_written(reading: Column, surface: Column) -> Column:
+    """The reading of a word; one in katakana alone, but for the rare ones, reads as it is written."""
+    plain = surface.rlike(f"^[{KATAKANA}{LONG}]+$") & ~surface.rlike("[ヵヶ\\x{30F7}-\\x{30FA}]")
+    return F.when(plain, F.translate(to_hiragana(surface), "ゐゑ", "いえ")).otherwise(reading)

@@ -95,3 +95,25 @@ def nihon_readings(reading: Column, surface: Column) -> Column:
     count = lambda x, part: (F.length(x) - F.length(F.replace(x, F.lit(part), F.lit("")))) / len(part)
     same = (count(surface, "日本") > 0) & (count(surface, "日本") == count(reading, "にっぽん"))
     return F.when(same, F.replace(reading, F.lit("にっぽん"), F.lit("にほん")))
+
+
+# Words that conjugate unlike others of their type, with the type they get; and types and words whose stems read otherwise by form.
+OWN_TYPES = {
+    "五段-カ行-促音便": "行く 逝く",
+    "五段-ワア行-ウ音便": "問う 乞う 請う",
+    "五段-ラ行-特殊": "くださる 下さる いらっしゃる おっしゃる 仰る なさる 為さる ござる 御座る 御坐る",
+}
+OUTSIDE_TYPES, OUTSIDE_WORDS = ("カ行変格",), ("する", "いい")
+
+
+def conjugation_type(kind: Column, dictionary_form: Column) -> Column:
+    """The type that a word conjugates by; null if it's held as forms that don't conjugate."""
+    out = F.when(kind.isin(*OUTSIDE_TYPES) | dictionary_form.isin(*OUTSIDE_WORDS), None)
+    for name, members in OWN_TYPES.items():
+        out = out.when(dictionary_form.isin(*members.split()), name)
+    return out.otherwise(kind)
+
+
+def reading_after_number(place: Column, surface: Column, reading: Column) -> Column:
+    """The reading of the word at a place (from 0) after a number: 位 ranks right after it, and means about so much after a counter."""
+    return F.when((place > 0) & (surface == "位") & (reading == "い"), F.lit("くらい")).otherwise(reading)

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lexforge.functions.kana import KANJI, voicings
 from lexforge.functions.words import cost_of
 
 KEY = ["reading", "surface", "conjugation"]
@@ -131,3 +134,86 @@ def nihon(lines: DataFrame) -> DataFrame:
     own = lines.select(nihon_readings(F.col("reading"), F.col("surface")).alias("reading"), "surface", "cost").filter("reading is not null")
     read = lines.filter(F.col("reading").contains("にほん")).select("surface").distinct()
     return own.join(read, "surface", "left_anti").select("reading", "surface", "cost")
+
+
+def numeric_entries(units: DataFrame, total: DataFrame, is_voiced_freely: Column, min_count: int = 2) -> DataFrame:
+    """(reading, surface, cost) of numbers with what they count; where voicing is free, each way to voice the reading has the cost, at its least."""
+    n = units.groupBy("reading", "surface").agg(F.count("*").alias("n")).filter(F.col("n") >= min_count)
+    n = n.join(F.broadcast(total)).withColumn("cost", cost_of(F.col("n"), F.col("total")))
+    each = F.when(is_voiced_freely, F.array_append(voicings(F.col("reading")), F.col("reading"))).otherwise(F.array("reading"))
+    return n.select(F.explode(each).alias("reading"), "surface", "cost").groupBy("reading", "surface").agg(F.min("cost").alias("cost"))
+
+
+def counting_small_numbers(numeric: DataFrame, by_nouns: DataFrame) -> DataFrame:
+    """The numeric lines that words of small numbers are made from: those after kanji numerals, and those that no plain noun makes (reading, surface)."""
+    known = by_nouns.select("reading", "surface", F.lit(True).alias("_noun")).distinct()
+    return numeric.join(known, ["reading", "surface"], "left").filter(F.col("surface").startswith("{kanji}") | F.col("_noun").isNull()).drop("_noun")
+
+
+def title_entries(titles: DataFrame, unit_counts: DataFrame, text_counts: DataFrame, total: DataFrame, min_count: int = 2) -> DataFrame:
+    """(reading, surface, n, cost): titles (reading, surface) of two characters or more that occur often enough, as units where that is counted, else as whole words of the texts."""
+    t = titles.filter(F.length("surface") >= 2).distinct()
+    t = t.join(unit_counts.select("surface", F.col("n").alias("_u")), "surface", "left").join(text_counts.select("surface", F.col("n").alias("_t")), "surface", "left")
+    t = t.withColumn("n", F.coalesce("_u", "_t", F.lit(0).cast("long"))).filter(F.col("n") >= min_count)
+    return t.join(F.broadcast(total)).select("reading", "surface", "n", cost_of(F.col("n"), F.col("total")).alias("cost"))
+
+
+def unnamed_entries(entries: DataFrame, chains: DataFrame, total: DataFrame, conjugation: str = "サ行変格", min_count: int = 2) -> DataFrame:
+    """(reading, surface, conjugation, cost): the entries of the chains taken, and as stems those that end in kanji and are followed by する (suru) often enough."""
+    stems = chains.filter(F.col("taken") & (F.col("suru") >= min_count) & F.col("surface").rlike(f"[{KANJI}]$")).join(F.broadcast(total))
+    stems = stems.select("reading", "surface", F.lit(conjugation).alias("conjugation"), cost_of(F.col("suru"), F.col("total")).alias("cost"))
+    return entries.select("reading", "surface", F.lit(None).cast("string").alias("conjugation"), "cost").unionByName(stems)
+
+
+def needless_readings(added: DataFrame, dropped: DataFrame) -> DataFrame:
+    """(reading, surface, why): added readings (reading, surface, use) that the base drops, or has without them (rare or given)."""
+    drops = dropped.select("surface", F.lit("dropped").alias("_why")).distinct()
+    why = F.coalesce("_why", F.when(F.col("use").isin("rare", "given"), F.col("use")))
+    return added.join(drops, "surface", "left").select("reading", "surface", why.alias("why")).filter("why is not null")
+
+
+def without_rendaku(words: DataFrame) -> DataFrame:
+    """The conjugating words (reading, surface, conjugation, ...) without those whose reading is another's of the same word with its first kana voiced."""
+    voiced = words.select(F.explode(voicings(F.col("reading"))).alias("reading"), "surface", "conjugation").distinct()
+    return words.join(voiced, ["reading", "surface", "conjugation"], "left_anti")
+
+
+def dropped(tables: dict[str, DataFrame], is_dropped: Callable[[DataFrame], Column]) -> dict[str, DataFrame]:
+    """Each table of a dictionary without the lines that a condition names."""
+    return {name: t.filter(~F.coalesce(is_dropped(t), F.lit(False))) for name, t in tables.items()}
+
+
+def okurigana_variants(units: DataFrame) -> DataFrame:
+    """The units that are okurigana variants, as plain ones, to build a dictionary of their own from."""
+    return units.filter("okurigana_variant").withColumn("okurigana_variant", F.lit(False)).withColumn("parts", F.lit(None).cast(units.schema["parts"].dataType) if "parts" in units.columns else F.lit(None).cast("array<string>"))
+
+
+def preferred(first: DataFrame, second: DataFrame, keys: list[str]) -> DataFrame:
+    """The rows of the first table, and those of the second whose key it doesn't have."""
+    return first.unionByName(without(second, first, keys))
+
+
+def first_examples(rows: DataFrame, keys: list[str], order: Column, example: Column) -> DataFrame:
+    """(keys, n, example): how often each key occurs, and its first example in order. One partial aggregate."""
+    return rows.groupBy(*keys).agg(F.count("*").alias("n"), F.min_by(example, order).alias("example"))
+
+
+def report(**kinds: DataFrame) -> DataFrame:
+    """(kind, n, reading, surface, line): the lines of a report, to be ordered by kind, then count from the greatest, reading and surface."""
+    out = None
+    for kind, t in kinds.items():
+        part = t.select(F.lit(kind).alias("kind"), F.col("n").cast("long").alias("n"), "reading", "surface")
+        out = part if out is None else out.unionByName(part)
+    return out.withColumn("line", F.concat_ws("\t", "kind", F.col("n").cast("string"), "reading", "surface"))
+
+
+def readings_by_surface(lines: DataFrame) -> DataFrame:
+    """(surface, readings): the distinct readings of each surface, sorted."""
+    return lines.groupBy("surface").agg(F.array_sort(F.collect_set("reading")).alias("readings"))
+
+
+def readings_after(seed: DataFrame, more: DataFrame) -> DataFrame:
+    """(surface, readings): the seed's readings (surface, readings), then the others' in their order, each once."""
+    both = seed.select("surface", F.col("readings").alias("_a")).join(more.select("surface", F.col("readings").alias("_b")), "surface", "full")
+    none = F.array().cast("array<string>")
+    return both.select("surface", F.array_distinct(F.concat(F.coalesce("_a", none), F.coalesce("_b", none))).alias("readings"))

@@ -96,3 +96,15 @@ def word_scores(results: DataFrame) -> DataFrame:
     n = lambda when: F.count_if(when)
     out = results.rollup("category").agg(F.count("*").alias("cases"), n(F.col("rank") == 1).alias("first"), n(F.col("rank") <= PAGE).alias("page"), n(F.col("rank").isNull()).alias("missing"))
     return out.withColumn("category", F.coalesce("category", F.lit("all")))
+
+
+def agreed_readings(first: DataFrame, second: DataFrame) -> DataFrame:
+    """(surface, reading): the readings that both analyzers give a surface."""
+    return first.select("surface", "reading").distinct().join(second.select("surface", "reading").distinct(), ["surface", "reading"])
+
+
+def shares_of_total(counts: DataFrame, keys: list[str], n: str = "n") -> DataFrame:
+    """(keys, n, percent): sums by key and their share of the whole in percent, to two places."""
+    by = counts.groupBy(*keys).agg(F.sum(n).alias("n"))
+    total = by.agg(F.sum("n").alias("_total"))
+    return by.join(F.broadcast(total)).select(*keys, "n", F.round(100 * F.col("n") / F.greatest(F.lit(1), F.col("_total")), 2).alias("percent"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -50,3 +52,27 @@ def latest(records: DataFrame, keys: list[str], order: Column) -> DataFrame:
 def turn_of(key: Column, turns: int) -> Column:
     """A key's turn among n, by its hash."""
     return F.pmod(F.xxhash64(key), F.lit(turns)).cast("int")
+
+
+def field_budget(docs: DataFrame, field: str, order: str, size: Column, budget: int, width: int = 4096) -> DataFrame:
+    """The documents of each field in the order of a number until its budget is reached; the one that crosses it is kept, and a document (k) counts for its first field only.
+
+    Sums by field and range of the order come first, so a field that holds most rows is spread over its ranges.
+    """
+    first = docs.groupBy("k").agg(F.min(field).alias(field))
+    rows = docs.join(first, ["k", field], "left_semi").withColumn("_range", F.floor(F.col(order) / width)).withColumn("_size", size)
+    sums = rows.groupBy(field, "_range").agg(F.sum("_size").alias("_sum"))
+    so_far = Window.partitionBy(field).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    above = sums.select(field, "_range", F.coalesce(F.sum("_sum").over(so_far), F.lit(0)).alias("_above")).filter(F.col("_above") < budget)
+    inside = Window.partitionBy(field, "_range").orderBy(order, "k").rowsBetween(Window.unboundedPreceding, -1)
+    taken = rows.join(above, [field, "_range"]).withColumn("before", F.col("_above") + F.coalesce(F.sum("_size").over(inside), F.lit(0)))
+    return taken.filter(F.col("before") < budget).drop("_range", "_size", "_above")
+
+
+def shuffle_key(i: Column) -> Column:
+    """A number from 0 to 2^64 - 1 by which rows stand in a fixed pseudo-random order: the place times an odd constant, its bits rotated by 17."""
+    odd, whole, half = (F.lit(Decimal(n)) for n in (0x9E3779B97F4A7C15, 2**64, 2**32))
+    low, high = (F.pmod(i, F.lit(2**32))).cast("decimal(10,0)"), F.floor(i / 2**32).cast("decimal(10,0)")
+    mixed = (low * odd + (high * odd) % half * half) % whole
+    top = F.floor(mixed / 2**47)
+    return ((mixed - top * 2**47) * 2**17 + top).cast("decimal(20,0)")

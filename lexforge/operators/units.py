@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexforge.functions.words import kind_of, split_bucket
@@ -61,3 +61,30 @@ def runs(units: DataFrame, inside) -> DataFrame:
     w = in_order()
     own = units.filter(inside).withColumn("run", F.col("i") - F.row_number().over(w))
     return own.groupBy("k", "run").agg(F.min("i").alias("start"), (F.max("i") + 1).alias("end"), F.count("*").alias("n"))
+
+
+#: Characters after which a line may be cut.
+BREAKS = "。、．，！？」）\\x{20}\\x{3000}\\t"
+
+
+def pieces(line_table: DataFrame, *, most_bytes: int = 40_000) -> DataFrame:
+    """(..., at, text): lines of up to `most_bytes` bytes whole; longer ones in pieces of a quarter as many characters, each cut after the last break in its second half, if it has one. `at` counts code points from 0."""
+    step, half = most_bytes // 4, most_bytes // 8
+    rest = [c for c in line_table.columns if c != "text"]
+    # A piece ends with a break in its second half, or is full, or is the last one.
+    pattern = f"(?s)(.{{{step}}}$|.{{1,{step}}}$|.{{{half},{step - 1}}}[{BREAKS}]|.{{{step}}})"
+    cut = F.when(F.octet_length("text") <= most_bytes, F.array("text")).otherwise(F.regexp_extract_all("text", F.lit(pattern), 1))
+    starts = F.transform(cut, lambda x, i: F.struct(F.aggregate(F.slice(cut, 1, i), F.lit(0), lambda a, y: a + F.length(y)).alias("at"), x.alias("text")))
+    return line_table.select(*rest, F.inline(starts))
+
+
+def compound_units(compounds: DataFrame, units: DataFrame, is_convertible: Column) -> DataFrame:
+    """The compounds (k, start, surface, ...) that take a conversion and aren't units already at their place."""
+    return compounds.filter(is_convertible).join(units.select("k", "start", "surface"), ["k", "start", "surface"], "left_anti")
+
+
+def typed_units(units: DataFrame, compounds: DataFrame) -> DataFrame:
+    """The units (k, start, end, ...) that are typed on their own: those inside no compound."""
+    from lexforge.operators.intervals import covered
+
+    return covered(units, compounds).filter(~F.col("inside")).drop("inside")

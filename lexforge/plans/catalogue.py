@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from lexforge.functions import markup, words
 from lexforge.operators import chains, dictionary, evaluate, intervals, patterns, select, units
 from lexforge.runtime import table
+from lexforge.sources import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -591,3 +592,123 @@ def alignment_share(spark, sf):
     ways = d.select("word", "cost", F.explode(F.sequence(F.lit(1), F.length("word") - 1)).alias("way"))
     heads = ways.select("word", "cost", "way", F.substring(F.col("word"), F.lit(1), F.col("way")).alias("reading"), F.lit("").alias("kanji"))
     return dictionary.alignment_shares(heads).select("reading", F.round("weight", 9).alias("weight"))
+
+
+# ---- dictionary entries, reports and budgets -----------------------------------------------------------------------
+
+
+@query(""", ti as (select distinct lower(w) surface from (select unnest(regexp_extract_all(text, '\\p{L}+')) w from benchmark) where length(w) >= 2)
+select ti.surface reading, ti.surface, count(*)::BIGINT n, round(-100 * ln(count(*)::double / (select count(*) from t)))::INT as "cost" from t join ti on ti.surface = t.reading group by all having count(*) >= 2""", tokens="once")
+def title_entries(spark, sf):
+    """Words of the benchmark as titles: short ones counted as units, long ones as whole words of the texts."""
+    t = tokens_of(spark, sf)
+    titles = table(spark, sf, "benchmark").select(F.explode(F.regexp_extract_all("text", F.lit(units.TOKEN), 1)).alias("surface")).filter("length(surface) >= 2").select(F.lower("surface").alias("surface")).distinct()
+    as_units = t.groupBy(F.col("reading").alias("surface")).agg(F.count("*").alias("n")).filter("length(surface) < 9")
+    long = titles.filter("length(surface) >= 9").select(F.col("surface").alias("pattern"))
+    in_texts = patterns.word_counts(docs_of(spark, sf).select("k", F.lower("text").alias("text")), long).withColumnRenamed("pattern", "surface")
+    return dictionary.title_entries(titles.withColumn("reading", F.col("surface")), as_units, in_texts, t.agg(F.count("*").alias("total")))
+
+
+_NUMBERED = """with u as (select '{}' || lower(m) reading, '{half}' || m surface from (select unnest(regexp_extract_all(text, '[0-9]+ ([a-z]\\p{L}*)', 1)) m from documents))"""
+
+
+def _numbered(spark, sf) -> DataFrame:
+    found = table(spark, sf, "documents").select(F.explode(F.regexp_extract_all("text", F.lit("[0-9]+ ([a-z]\\p{L}*)"), 1)).alias("m"))
+    return found.select(F.concat(F.lit("{}"), F.lower("m")).alias("reading"), F.concat(F.lit("{half}"), "m").alias("surface"))
+
+
+@query(_NUMBERED + """ select reading, surface, round(-100 * ln(count(*)::double / (select count(*) from u)))::INT as "cost" from u group by all having count(*) >= 2""")
+def numeric_entries(spark, sf):
+    u = _numbered(spark, sf)
+    return dictionary.numeric_entries(u, u.agg(F.count("*").alias("total")), F.lit(False))
+
+
+@query(_NUMBERED + """, e as (select distinct reading, surface from u) select * from e where substr(reading, 3) not in (select lower(w) from (select unnest(regexp_extract_all(text, '\\p{L}+')) w from benchmark))""")
+def small_number_items(spark, sf):
+    nouns = table(spark, sf, "benchmark").select(F.explode(F.regexp_extract_all("text", F.lit(units.TOKEN), 1)).alias("w")).select(F.lower("w").alias("w")).distinct()
+    numeric = _numbered(spark, sf).distinct()
+    by_nouns = numeric.join(nouns, F.col("w") == F.substr("reading", F.lit(3)), "left_semi")
+    return dictionary.counting_small_numbers(numeric, by_nouns)
+
+
+@query("""select doc_id, 'label' as origin, quality::INT as "value" from labels union all select doc_id, 'document', 0 from documents where doc_id not in (select doc_id from labels)""")
+def preferred_union(spark, sf):
+    first = table(spark, sf, "labels").select("doc_id", F.lit("label").alias("origin"), F.col("quality").cast("int").alias("value"))
+    second = table(spark, sf, "documents").select("doc_id", F.lit("document").alias("origin"), F.lit(0).alias("value"))
+    return dictionary.preferred(first, second, ["doc_id"])
+
+
+@query(""" select reading, count(*)::BIGINT n, arg_min(surface, (k, i)) example from t group by reading""", tokens="once")
+def first_examples(spark, sf):
+    return dictionary.first_examples(tokens_of(spark, sf), ["reading"], F.struct("k", "i"), F.col("surface"))
+
+
+@query(""", f as (select distinct surface, reading from t), s as (select distinct w surface, lower(w) reading from (select unnest(regexp_extract_all(text, '\\p{L}+')) w from conversations)) select surface, reading from f join s using (surface, reading)""", tokens=True)
+def agreed_readings(spark, sf):
+    other = table(spark, sf, "conversations").select(F.explode(F.regexp_extract_all("text", F.lit(units.TOKEN), 1)).alias("surface")).withColumn("reading", F.lower("surface"))
+    return evaluate.agreed_readings(tokens_of(spark, sf), other)
+
+
+@query(""" select kind, count(*)::BIGINT n, round(100 * count(*)::double / (select count(*) from t), 2) percent from t group by kind""", tokens="once")
+def kind_percent(spark, sf):
+    return evaluate.shares_of_total(tokens_of(spark, sf).groupBy("kind", "reading").agg(F.count("*").alias("n")), ["kind"])
+
+
+@query(""" select reading surface, array_to_string(list_sort(list(distinct surface)), ' ') readings from t group by reading""", tokens=True)
+def readings_by_surface(spark, sf):
+    lines = tokens_of(spark, sf).select(F.col("reading").alias("surface"), F.col("surface").alias("reading"))
+    return dictionary.readings_by_surface(lines).select("surface", F.array_join("readings", " ").alias("readings"))
+
+
+@query("""with b as (select lower(w) surface, list_sort(list(distinct w)) r from (select unnest(regexp_extract_all(text, '\\p{L}+')) w from benchmark) group by 1),
+ c as (select lower(w) surface, list_sort(list(distinct w)) r from (select unnest(regexp_extract_all(text, '\\p{L}+')) w from conversations) group by 1)
+select surface, array_to_string(list_concat(coalesce(b.r, []), [x for x in coalesce(c.r, []) if not list_contains(coalesce(b.r, []), x)]), ' ') readings from b full join c using (surface)""")
+def readings_after(spark, sf):
+    def of(name: str) -> DataFrame:
+        w = table(spark, sf, name).select(F.explode(F.regexp_extract_all("text", F.lit(units.TOKEN), 1)).alias("reading"))
+        return dictionary.readings_by_surface(w.withColumn("surface", F.lower("reading")))
+
+    return dictionary.readings_after(of("benchmark"), of("conversations")).select("surface", F.array_join("readings", " ").alias("readings"))
+
+
+@query(""", w as (select 'word' kind, count(*)::BIGINT n, reading, surface from t group by reading, surface having count(*) >= 5), r as (select 'rare' kind, count(*)::BIGINT n, reading, surface from t group by reading, surface having count(*) < 5 and count(*) >= 3), a as (select * from w union all select * from r)
+select kind, n, concat_ws(chr(9), kind, n::varchar, reading, surface) line from a""", tokens="once")
+def report_lines(spark, sf):
+    n = tokens_of(spark, sf).groupBy("reading", "surface").agg(F.count("*").alias("n"))
+    return dictionary.report(word=n.filter("n >= 5"), rare=n.filter("n between 3 and 4")).select("kind", "n", "line")
+
+
+@query(_SPANS + """ select kind, count(*)::BIGINT units from t where not exists(select 1 from comp c where c.k = t.k and c.s <= t.i and c.e >= t.i + 1) group by kind""", tokens=True)
+def typed_units(spark, sf):
+    u, compounds, _ = _spanned(tokens_of(spark, sf, SPANNED))
+    return units.typed_units(u.select("k", "kind", "start", "end"), compounds).groupBy("kind").agg(F.count("*").alias("units"))
+
+
+@query(_SPANS + """, cs as (select k, i, surface || ' ' || s2 surface from x where length(surface) >= 6 and length(s2) >= 6), un as (select k, i, surface || ' ' || s2 surface from x where surface ~ '^\\p{Lu}') select k, count(*)::BIGINT n from cs where not exists(select 1 from un where un.k = cs.k and un.i = cs.i and un.surface = cs.surface) group by k""", tokens=True)
+def compound_units(spark, sf):
+    """Compounds of two long words but those that start with a capital, which stand for units that are there already."""
+    t = tokens_of(spark, sf, SPANNED).filter("s2 is not null").select("k", F.col("i").alias("start"), F.concat_ws(" ", "surface", "s2").alias("surface"), F.length("surface").alias("a"), F.length("s2").alias("b"))
+    known = t.filter(F.col("surface").rlike("^\\p{Lu}"))
+    return units.compound_units(t, known, F.expr("a >= 6 and b >= 6")).groupBy("k").agg(F.count("*").alias("n"))
+
+
+@query(""", u as (select k, kind, count(*) n from t group by all), d2 as (select concat_ws(':', source, doc_id::varchar) k, source, doc_id from documents), b as (select d2.k, source, doc_id, coalesce(n, 0) n, coalesce(sum(coalesce(n, 0)) over (partition by source order by doc_id rows between unbounded preceding and 1 preceding), 0) before from d2 left join u using (k))
+select k, source, n::BIGINT n, before::BIGINT "before" from b where before < 3000""", tokens="once")
+def field_budget(spark, sf):
+    """Documents of each source in order until 3,000 units are taken."""
+    d = table(spark, sf, "documents").select(F.concat_ws(":", "source", "doc_id").alias("k"), "source", "doc_id", F.coalesce(F.size(F.regexp_extract_all("text", F.lit(units.TOKEN), 1)), F.lit(0)).cast("long").alias("n"))
+    return select.field_budget(d, "source", "doc_id", F.col("n"), 3000, 64).select("k", "source", "n", "before")
+
+
+@query("""with m as (select doc_id, (doc_id::HUGEINT * 11400714819323198485::HUGEINT) % 18446744073709551616::HUGEINT x from documents)
+select doc_id, ((x % 140737488355328::HUGEINT * 131072 + x // 140737488355328::HUGEINT) // 4294967296)::BIGINT high from m""")
+def shuffle_order(spark, sf):
+    """The upper half of the number by which documents stand in a fixed pseudo-random order."""
+    d = table(spark, sf, "documents").select("doc_id", select.shuffle_key(F.col("doc_id")).alias("x"))
+    return d.select("doc_id", F.floor(F.col("x") / 4294967296).cast("long").alias("high"))
+
+
+@query("""with y as (select distinct year(ts)::INT y from events) select y as "year", d::DATE as "day" from y, lateral (select unnest(range(make_date(y, 1, 1)::TIMESTAMP, make_date(y + 1, 1, 1)::TIMESTAMP, interval 1 day)) d) u""")
+def days_of_years(spark, sf):
+    years = table(spark, sf, "events").select(F.year("ts").alias("year")).distinct()
+    return years.select("year", F.explode(documents.days_of(F.col("year"))).alias("day"))

@@ -132,3 +132,13 @@ def read_archives(spark: SparkSession, path: str, encoding: str = "utf-8") -> Da
 def content_key(content: bytes) -> str:
     """The name of a stored content: its SHA-256."""
     return hashlib.sha256(content).hexdigest()
+
+
+def kept_dictionaries(names: list[str]) -> list[str]:
+    """The dictionaries that are shipped, in their order: the base first, then the others by name."""
+    return sorted(dict.fromkeys(names), key=lambda n: (n != "base", n))
+
+
+def days_of(year: Column) -> Column:
+    """All days of a year, as dates in order."""
+    return F.sequence(F.make_date(year, F.lit(1), F.lit(1)), F.make_date(year, F.lit(12), F.lit(31)))

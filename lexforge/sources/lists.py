@@ -231,3 +231,14 @@ def parse_paths(inputs: list[str], output: str) -> list[list[str | None]]:
             raise ValueError(f"a path spells {spelled!r}, which is no input that is left")
         out[at].append(None if any(not r or r == "*" for _, r in p) else "".join(r for _, r in p))
     return out
+
+
+def title_of_url(url: Column) -> Column:
+    """The article title that a link to it ends with: percent signs decoded, low lines as spaces."""
+    return F.replace(F.url_decode(F.regexp_extract(url, "/([^/]+)$", 1)), F.lit("_"), F.lit(" "))
+
+
+def unread_people(rows: DataFrame, articles: DataFrame) -> DataFrame:
+    """(item, title, reading): people (item, url, kana) without a reading, with that of the article (title, reading) that their link names, sorted by item by whoever writes them."""
+    own = rows.filter(F.coalesce(F.col("kana"), F.lit("")) == "").select("item", title_of_url(F.col("url")).alias("title"))
+    return own.join(articles.filter("reading is not null"), "title").select("item", "title", "reading")
