@@ -400,20 +400,13 @@ def as_counted(spark, sf):
 
 # ---- patterns ------------------------------------------------------------------------------------------------------
 
-_PATTERNS = """, pat as (select reading pattern from t where length(reading) between 5 and 6 group by reading order by count(*) desc, reading limit 40)"""
-
-
-def _patterns(t: DataFrame) -> DataFrame:
-    """The 40 most frequent words of five or six letters: a top-k list, as the feature asks."""
-    n = t.filter("length(reading) between 5 and 6").groupBy("reading").agg(F.count("*").alias("n"))
-    return n.orderBy(F.desc("n"), "reading").limit(40).select(F.col("reading").alias("pattern"))
-
-
-@query(_PATTERNS + """, dl as (select doc_id, lower(text) text from documents)
-select pattern, coalesce(sum(len(regexp_extract_all(' ' || regexp_replace(text, '\\PL+', '  ', 'g') || ' ', ' ' || pattern || ' '))), 0)::BIGINT n from pat, dl group by pattern""", tokens=True)
+@query(""", pat as (select distinct lower(w) pattern from (select unnest(regexp_extract_all(text, '\\p{L}+')) w from benchmark)), c as (select reading, count(*) n from t group by reading)
+select pattern, coalesce(n, 0)::BIGINT n from pat left join c on c.reading = pat.pattern""", tokens=True)
 def ngram_match(spark, sf):
+    """How often each word of the benchmark, of any length, stands in the documents; as a run of letters with none beside it, it's a token there."""
+    words = table(spark, sf, "benchmark").select(F.explode(F.regexp_extract_all("text", F.lit(units.TOKEN), 0)).alias("w"))
     d = docs_of(spark, sf).select("k", F.lower("text").alias("text"))
-    return patterns.word_counts(d, _patterns(tokens_of(spark, sf)))
+    return patterns.word_counts(d, words.select(F.lower("w").alias("pattern")).distinct())
 
 
 @query(""", n as (select reading, count(*) filter (substr(kind, 4)::INT >= 10) as nw, count(*) filter (substr(kind, 4)::INT < 10) old from t group by reading),

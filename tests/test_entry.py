@@ -22,7 +22,7 @@ def test_the_flagship_runs(spark):
 
 
 @needs_data
-@pytest.mark.parametrize("name", ["split_counts", "doc_budget", "span_cover", "fragments", "eval_total", "lexicon_merge", "crosscount", "side_entropy"])
+@pytest.mark.parametrize("name", ["split_counts", "doc_budget", "span_cover", "fragments", "eval_total", "lexicon_merge", "crosscount", "side_entropy", "ngram_match"])
 def test_queries_equal_their_sql(spark, name):
     db = duckdb.connect()
     for t in "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split():
