@@ -29,10 +29,13 @@ def kind_of(key: Column) -> Column:
     return F.substring_index(key, ":", 1)
 
 
+# Kana that start no word, and marks that end none.
+NO_START, NO_END = "^(?:[ぁぃぅぇぉゃゅょゎゕゖっんー]|$)", "[-－〜～]$"
+
+
 def is_word(reading: Column, surface: Column) -> Column:
     """Whether a line can be a word: its reading starts with a kana that starts words, and its surface has no white space or stray marks."""
-    # Kana that start no word, and marks that end or fill none.
-    return ~reading.rlike("^(?:[ぁぃぅぇぉゃゅょゎゕゖっんー]|$)") & ~surface.rlike("[\\s\\p{Z}゛゜、]") & ~surface.rlike("[-－〜～]$")
+    return ~reading.rlike(NO_START) & ~surface.rlike("[\\s\\p{Z}゛゜、]") & ~surface.rlike(NO_END)
 
 
 def is_glossed(surface: Column) -> Column:
