@@ -25,10 +25,10 @@ from functools import lru_cache
 
 import public_tokenizers
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexforge.llm.arrow import map_texts
+from lexforge.llm.arrow import blocks, map_texts
 from lexforge.runtime import materialize
 
 KINDS = ("assign", "access", "hex", "cred")
@@ -57,8 +57,12 @@ april may june july august september october november december monday tuesday we
 love hello world computer internet company office home money data base database production staging local host""".split()
 #: Vocabularies whose whole words are ranked lists of their own: English and many languages, about 24,000 and 25,000 words.
 VOCABULARIES = ("byte_bpe_50k.tiktoken", "byte_bpe_multi_50k.tiktoken")
-#: The words that a corpus adds: those in at least MIN_TEXTS texts of a sample of about SAMPLE_DOCS documents, MAX_WORDS for each language.
-SAMPLE_DOCS, MAX_WORDS, MIN_TEXTS = 20_000, 20_000, 3
+#: The words that a corpus adds: those in at least MIN_TEXTS different texts of all its documents, the MAX_WORDS most common for each language.
+MAX_WORDS, MIN_TEXTS = 20_000, 3
+#: Places, a multiple of 64, where the texts that have copies leave a bit. A text that meets such a bit by chance is only compared as a whole too.
+COPY_PLACES = 1 << 24
+#: Words that a counting worker holds before it hands on what it has.
+HELD_WORDS = 200_000
 WORDS = re.compile(r"(?<![^\W\d_])[^\W\d_]{3,40}(?![^\W\d_])")
 LOOKALIKE = str.maketrans("013457@$!", "oleastasi")
 KEY_ROWS = ("`1234567890-=", "qwertyuiop[]\\", "asdfghjkl;'", "zxcvbnm,./")
@@ -92,25 +96,47 @@ def listed() -> Ranks:
     return out
 
 
+def different_texts(rows: DataFrame) -> DataFrame:
+    """(lang, text): each text once, with its least language. Only texts that may have copies are shuffled."""
+    key = F.xxhash64("text")
+
+    def place(k: Column) -> list[Column]:
+        at = F.pmod(k, F.lit(COPY_PLACES))
+        return [F.shiftright(at, 6), F.call_function("shiftleft", F.lit(1).cast("long"), at.bitwiseAND(63).cast("int"))]
+
+    block, bit = place(F.col("key"))
+    copies = rows.groupBy(key.alias("key")).agg(F.count("*").alias("n")).filter("n > 1")
+    copies = F.broadcast(materialize(copies.groupBy(block.alias("copy_block")).agg(F.bit_or(bit).alias("copy_bits"))))
+    block, bit = place(key)
+    rows = rows.select("lang", "text", block.alias("block"), bit.alias("bit"))
+    met = (F.col("block") == F.col("copy_block")) & (F.col("bit").bitwiseAND(F.col("copy_bits")) != 0)
+    copied = rows.join(copies, met, "left_semi").groupBy("text").agg(F.min("lang").alias("lang"))
+    return rows.join(copies, met, "left_anti").select("lang", "text").unionByName(copied)
+
+
 def word_ranks(docs: DataFrame, *, text_col: str = "text", lang_col: str = "lang") -> Ranks:
-    """The fixed lists and, for each language of the documents, the words of a bounded sample of texts by the number of texts they are in.
+    """The fixed lists and, for each language of the documents, the most common words by the number of texts they are in, of all documents.
 
     Equal texts count once, and what stands in a credential context or a base span isn't counted, so a secret doesn't make itself a word.
     """
     lang = F.coalesce(F.col(lang_col).cast("string"), F.lit("")) if lang_col in docs.columns else F.lit("")
-    share = -(-SAMPLE_DOCS * 1_000_000 // max(docs.count(), 1))
-    key = F.xxhash64(text_col)
-    rows = docs.filter(F.col(text_col).isNotNull() & (F.pmod(key, F.lit(1_000_000)) < share)).groupBy(key.alias("key")).agg(F.min(F.struct(lang.alias("lang"), F.col(text_col).alias("text"))).alias("row"))
+    rows = different_texts(docs.filter(F.col(text_col).isNotNull()).select(lang.alias("lang"), F.col(text_col).alias("text")))
+
+    def found_in(counts: dict[str, Counter]) -> Iterator[pa.RecordBatch]:
+        for name, c in counts.items():
+            yield pa.RecordBatch.from_arrays([pa.array([name] * len(c), pa.string()), pa.array(list(c), pa.string()), pa.array(list(c.values()), pa.int64())], ["lang", "word", "n"])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[str, Counter] = {}
-        for batch in batches:
-            for name, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+        for batch, texts in blocks(batches, "text"):
+            for name, text in zip(batch.column(0).to_pylist(), texts, strict=True):
                 counts.setdefault(name, Counter()).update(set(WORDS.findall(_masked(text, _secret_places(text), " ").lower())))
-        for name, c in counts.items():
-            yield pa.RecordBatch.from_arrays([pa.array([name] * len(c), pa.string()), pa.array(list(c), pa.string()), pa.array(list(c.values()), pa.int64())], ["lang", "word", "n"])
+            if sum(map(len, counts.values())) > HELD_WORDS:
+                yield from found_in(counts)
+                counts = {}
+        yield from found_in(counts)
 
-    found = rows.select("row.*").mapInArrow(count, "lang string, word string, n bigint")
+    found = rows.mapInArrow(count, "lang string, word string, n bigint")
     found = materialize(found.groupBy("lang", "word").agg(F.sum("n").alias("n")).filter(F.col("n") >= MIN_TEXTS))
     # The least count of each language that at most MAX_WORDS words have; equal counts stay together.
     least: dict[str, int] = {}

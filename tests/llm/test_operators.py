@@ -242,6 +242,31 @@ def test_random_letters_are_costly_and_words_are_not(spark):
     assert got == {**dict.fromkeys(range(9), 1), 9: 0}
 
 
+def rare_words(spark, n: int):
+    """Documents of which three of consecutive ids share a word that is in no others and in no list."""
+    word = lambda i: F.translate(F.substring(F.md5(i.cast("string")), 1, 10), "0123456789abcdef", "qwxzkvbjgpfhmnrt")
+    docs = spark.range(n).select(F.col("id").alias("doc_id"), F.concat(word(F.floor(F.col("id") / 3)), F.lit(" 1"), "id").alias("text"), F.lit("en").alias("lang"))
+    pwd = F.concat(F.lit("pwd: "), word(F.col("id")), word(F.col("id") + 1))
+    return docs, spark.range(0, n // 3 - 1, 100).select((F.col("id") + n).alias("doc_id"), pwd.alias("text"), F.lit("en").alias("lang"))
+
+
+def test_words_of_all_documents_are_ranked(spark):
+    docs, values = rare_words(spark, 45_000)
+    ranks = secrets.word_ranks(docs)
+    assert {r["text"].split()[0] for r in docs.collect()} <= ranks.keys() and len(ranks) - len(secrets.listed()) == 15_000
+    assert all(secrets.spans_of(r["text"]) for r in values.collect())  # costly by the fixed lists
+    assert secrets.scan(docs.union(values)).filter("size(spans) > 0").count() == 0
+
+
+def test_each_text_counts_once_in_its_least_language(spark, monkeypatch):
+    rows = [(r[2] or "", r[1]) for r in odd_rows() if r[1] is not None] + [(lang, prose(i, 9)) for i in range(200) for lang in ["fr", "de", "en"][: 1 + i % 3]]
+    want = {text: min(a for a, b in rows if b == text) for _, text in rows}
+    for places in (secrets.COPY_PLACES, 64):  # with so few, many texts meet a copy's bit by chance
+        monkeypatch.setattr(secrets, "COPY_PLACES", places)
+        got = secrets.different_texts(spark.createDataFrame(rows, "lang string, text string").repartition(5)).collect()
+        assert len(got) == len(want) and {r["text"]: r["lang"] for r in got} == want
+
+
 def test_secrets_on_odd_rows(spark):
     out = check_robust(spark, secrets.scan)
     assert out.filter("doc_id in (100, 101, 102)").filter("size(spans) > 0").count() == 0
