@@ -1,8 +1,9 @@
 import numpy as np
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tests.llm.cases import SCHEMA, frame, odd_rows, prose
-from tests.llm.test_operators import classes_by_brute_force, language_rows
+from tests.llm.test_operators import classes_by_brute_force, language_rows, rare_words
 
 
 def test_stages_keep_the_columns_and_their_decisions_take_effect(spark, tmp_path):
@@ -49,6 +50,13 @@ def test_language_stage_drops_what_has_no_language(spark):
     assert {r["doc_id"] for r in out} == set(range(240)) and all(r["lang"] == ["de", "en"][r["doc_id"] % 2] for r in out)
 
 
+def test_secret_stage_knows_the_words_of_all_documents(spark):
+    docs, values = rare_words(spark, 45_000)
+    whole = docs.union(values).select("*", F.lit("s").alias("source"), F.length("text").cast("long").alias("n_chars"))
+    out = corpus_pipeline.secret_scan(spark, whole, "").cache()
+    assert out.count() == whole.count() and out.exceptAll(whole).count() == 0
+
+
 def test_run_packs_what_the_stages_keep(spark, tmp_path):
     rows = [(i, prose(i, 80), "en", "src0", 1) for i in range(60)] + [(100, prose(3, 80), "en", "src0", 1)]
     frame(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
