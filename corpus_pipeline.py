@@ -38,11 +38,13 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replace each secret in the texts; `n_chars` follows. A null text stays null."""
     names = docs.columns
-    rows = docs.select(F.struct(*names).alias("doc"), F.col("text").alias("_text"))
-    ranks = spark.sparkContext.broadcast(secrets.word_ranks(docs))
+    common, rarer = secrets.word_lists(docs)
+    rows = secrets.beside(docs.select(F.struct(*names).alias("doc"), F.col("text").alias("_text")), "_text", rarer)
+    shared = spark.sparkContext.broadcast(common)
 
     def step(batch: pa.RecordBatch, texts: list[str]) -> dict:
-        return {"doc": batch.column(0), "clean": [secrets.redacted(t, MARK, ranks.value) for t in texts]}
+        known = zip(texts, secrets.ranks_of(batch, shared.value), strict=True)
+        return {"doc": batch.column(0), "clean": [secrets.redacted(t, MARK, r) for t, r in known]}
 
     out = map_texts(rows, "_text", StructType([rows.schema["doc"]]).add("clean", "string"), step)
     clean = F.when(F.col("doc.text").isNotNull(), F.col("clean"))

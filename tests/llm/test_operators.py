@@ -258,6 +258,42 @@ def test_words_of_all_documents_are_ranked(spark):
     assert secrets.scan(docs.union(values)).filter("size(spans) > 0").count() == 0
 
 
+def test_words_beyond_the_list_of_all_workers_are_known(spark):
+    docs, values = rare_words(spark, 66_000)  # 22,000 words of one count, more than MAX_WORDS
+    assert secrets.scan(docs.union(values)).filter("size(spans) > 0").count() == 0
+
+
+@pytest.mark.parametrize("places", [secrets.COPY_PLACES, 64])  # with so few, many words and texts meet a bit by chance
+def test_guess_costs_are_those_of_all_words(spark, monkeypatch, places):
+    monkeypatch.setattr(secrets, "MAX_WORDS", 20)
+    monkeypatch.setattr(secrets, "COPY_PLACES", places)
+    r = random.Random(31)
+    letters = lambda n: "".join(r.choice("qwxzkvbjgpfhmnrtéü") for _ in range(n))
+    words = [letters(r.randrange(3, 9)) for _ in range(150)]
+    texts = [(" ".join(r.choice(words[: r.randrange(1, 150)]) for _ in range(12)), r.choice(["de", "en", "fr", None])) for _ in range(300)]
+    for i in range(200):
+        parts = [r.choice(words), r.choice(words).upper(), letters(4), r.choice(words).replace("t", "7").replace("g", "9"), "2", r.choice(words) * 3]
+        value = "".join(r.sample(parts, r.randrange(2, 5))) + "qqqqqqqq"
+        texts.append((r.choice(words) + f" pwd: {value} and ftp://me:{letters(9)}{r.choice(words)}@h {i}", r.choice(["de", "en"])))
+    texts += texts[280:320] + [(None, "en"), ("", "de")]
+    # All words of all texts, by a plain loop.
+    counts = collections.defaultdict(collections.Counter)
+    for text in {t for t, _ in texts if t}:
+        places_of = [*((s, e) for _, s, e in secrets._base(text)), *secrets._values(text)]
+        found = secrets.WORDS.findall(secrets._masked(text, places_of, " ").lower())
+        counts[min(lang or "" for t, lang in texts if t == text)].update(set(found))
+    full = secrets.Ranks(secrets.listed())
+    full.longest = secrets.listed().longest
+    for c in counts.values():
+        full.add(w for _, w in sorted((-n, w) for w, n in c.items() if n >= secrets.MIN_TEXTS))
+    docs = frame(spark, [(i, t, lang, "s", 1) for i, (t, lang) in enumerate(texts)])
+    assert len(secrets.word_ranks(docs)) < len(full)
+    got = {x["doc_id"]: [(s["kind"], s["start"], s["end"], s["bits"]) for s in x["spans"]] for x in secrets.scan(docs).collect()}
+    want = {i: [(k, s, e, secrets.guess_bits(t[s:e], ranks=full)) for k, s, e in secrets.spans_of(t or "", full)] for i, (t, _) in enumerate(texts)}
+    assert got == want and 50 < sum(map(len, want.values())) < 2 * 200
+    assert any(secrets.spans_of(t or "") != secrets.spans_of(t or "", full) for t, _ in texts)
+
+
 def test_each_text_counts_once_in_its_least_language(spark, monkeypatch):
     rows = [(r[2] or "", r[1]) for r in odd_rows() if r[1] is not None] + [(lang, prose(i, 9)) for i in range(200) for lang in ["fr", "de", "en"][: 1 + i % 3]]
     want = {text: min(a for a, b in rows if b == text) for _, text in rows}

@@ -57,6 +57,15 @@ def test_secret_stage_knows_the_words_of_all_documents(spark):
     assert out.count() == whole.count() and out.exceptAll(whole).count() == 0
 
 
+def test_secret_stage_knows_words_beyond_the_list_of_all_workers(spark):
+    docs, values = rare_words(spark, 66_000)
+    secret = spark.createDataFrame([(-1, "pwd: Q7#vL0!xZ9&k and ftp://me:Rt8%wq2Z@h", "en")], "doc_id long, text string, lang string")
+    whole = docs.union(values).union(secret).select("*", F.lit("s").alias("source"), F.length("text").cast("long").alias("n_chars"))
+    out = corpus_pipeline.secret_scan(spark, whole, "").cache()
+    assert out.count() == whole.count()
+    assert [(r["doc_id"], r["text"], r["n_chars"]) for r in out.exceptAll(whole).collect()] == [(-1, "pwd: [secret] and ftp://me:[secret]@h", 37)]
+
+
 def test_run_packs_what_the_stages_keep(spark, tmp_path):
     rows = [(i, prose(i, 80), "en", "src0", 1) for i in range(60)] + [(100, prose(3, 80), "en", "src0", 1)]
     frame(spark, rows).write.parquet(f"{tmp_path}/documents.parquet")
