@@ -30,6 +30,15 @@ def tokens(docs: DataFrame, pattern: str = TOKEN, near: dict[str, tuple[str, int
     return out.withColumns({name: F.lower(name) for name, (what, _) in near.items() if what == "reading"})
 
 
+def readings(units: DataFrame) -> DataFrame:
+    """(k, readings): the readings of each document in order, from its text (k, text), or gathered from its units (k, i, reading)."""
+    if "text" in units.columns:
+        found = units.select("k", F.regexp_extract_all("text", F.lit(TOKEN), 1).alias("_all"))
+        return found.select("k", F.transform("_all", F.lower).alias("readings"))
+    own = units.groupBy("k").agg(F.sort_array(F.collect_list(F.struct("i", "reading"))).alias("_u"))
+    return own.select("k", F.col("_u.reading").alias("readings"))
+
+
 def ahead(n: int) -> dict[str, tuple[str, int]]:
     """The neighbours n2, ..., nn of `ngrams`, for `tokens`."""
     return {f"n{j}": ("reading", j - 1) for j in range(2, n + 1)}
