@@ -6,6 +6,7 @@ from collections import Counter
 import pytest
 
 from lexforge.operators import chains, units
+from lexforge.plans import catalogue
 
 
 def shuffled(spark, df):
@@ -57,3 +58,20 @@ def test_chains_as_brute_force_however_full_the_filter(spark, monkeypatch, bits)
         want = sorted((*c, m, own[c]) for c, m in every.items() if m >= least and own[c] >= in_docs)
         for given in (units.readings(keyed), units.tokens(keyed)):
             assert sorted(map(tuple, chains.chains(given, n, least, in_docs).collect())) == want
+
+
+def queries_on(spark, tmp_path, texts, benchmark):
+    """A folder with two tables of these texts, for the queries of the catalogue."""
+    docs = [(i, x, f"src{i % 3}") for i, x in enumerate(texts)]
+    spark.createDataFrame(docs, "doc_id long, text string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(list(enumerate(benchmark)), "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    return str(tmp_path)
+
+
+def test_title_reads_shuffles_only_titles(spark, tmp_path):
+    texts, _ = random_docs(spark, 100, 400, 3000)
+    sf = queries_on(spark, tmp_path, [*texts, "Red fox red fox", "", None], ["red fox runs", "Red fox", "fox hen", "single", ""])
+    found = catalogue.title_reads(spark, sf)
+    # As in the SQL, a text without two words gives a title that is null.
+    assert sorted(map(tuple, found.collect()), key=repr) == sorted([("red fox", 2), ("fox hen", 0), (None, 0)], key=repr)
+    assert shuffled(spark, catalogue.title_reads(spark, sf)) < 20_000
