@@ -312,9 +312,8 @@ def apart_share(spark, sf):
 @query(""", u as (select reading, count(*) n from t group by all), c as (select reading p1, lead(reading) over (partition by k order by i) p2 from t), p as (select p1, p2, count(*) n from c where p2 is not null group by all having count(*) >= 5)
 select p1, p2, p.n::BIGINT n, round(p.n / greatest(1, least(a.n, b.n)), 9) cohesion from p join u a on a.reading = p1 join u b on b.reading = p2""", tokens="once")
 def cohesion(spark, sf):
-    t = tokens_of(spark, sf, units.ahead(2))
-    pairs = chains.chains(t, 2, 5).select("p1", "p2", "n")
-    return chains.cohesion(pairs, t.groupBy("reading").agg(F.count("*").alias("n"))).select("p1", "p2", "n", F.round("cohesion", 9).alias("cohesion"))
+    pairs = chains.chains(units.readings(docs_of(spark, sf)), 2, 5).select("p1", "p2", "n")
+    return chains.cohesion(pairs, tokens_of(spark, sf).groupBy("reading").agg(F.count("*").alias("n"))).select("p1", "p2", "n", F.round("cohesion", 9).alias("cohesion"))
 
 
 @query(""", c as (select k, i, i - row_number() over (partition by k order by i) g from t where regexp_matches(surface, '^\\p{Lu}')), r as (select k, g, min(i) s, max(i) + 1 e, count(*) n from c group by all)
