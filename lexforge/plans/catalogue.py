@@ -279,7 +279,7 @@ def list_cost(spark, sf):
 
 @query(""", c as (select k, reading p1, lead(reading) over (partition by k order by i) p2 from t) select p1, p2, count(*)::BIGINT n, count(distinct k)::BIGINT docs from c where p2 is not null group by all having count(*) >= 10 and count(distinct k) >= 5""", tokens=True)
 def chain2(spark, sf):
-    return chains.chains(tokens_of(spark, sf, units.ahead(2)), 2, 10, 5)
+    return chains.chains(units.readings(docs_of(spark, sf)), 2, 10, 5)
 
 
 @query(""", c as (select k, reading p1, lead(reading) over (partition by k order by i) p2, lead(reading,2) over (partition by k order by i) p3 from t) select p1, p2, p3, count(*)::BIGINT n, count(distinct k)::BIGINT docs from c where p3 is not null group by all having count(*) >= 10 and count(distinct k) >= 5""", tokens=True)

@@ -75,3 +75,18 @@ def test_title_reads_shuffles_only_titles(spark, tmp_path):
     # As in the SQL, a text without two words gives a title that is null.
     assert sorted(map(tuple, found.collect()), key=repr) == sorted([("red fox", 2), ("fox hen", 0), (None, 0)], key=repr)
     assert shuffled(spark, catalogue.title_reads(spark, sf)) < 20_000
+
+
+@pytest.mark.parametrize("name", ["chain2", "cohesion"])
+def test_rare_pairs_shuffle_only_hashes(spark, monkeypatch, tmp_path, name):
+    monkeypatch.setattr(chains, "FILTER_BITS", 1 << 16, raising=False)
+    texts = [f"a b {x} a b" for x in random_docs(spark, 100, 400, 10000)[0]]
+    sf = queries_on(spark, tmp_path, texts, ["x"])
+    found = list(map(tuple, catalogue.QUERIES[name](spark, sf).collect()))
+    every, own = chains_of(texts, 2)
+    if name == "chain2":
+        assert sorted(found) == sorted((*c, m, own[c]) for c, m in every.items() if m >= 10 and own[c] >= 5)
+    else:
+        assert sorted(x[:3] for x in found) == sorted((*c, m) for c, m in every.items() if m >= 5)
+    # The counts of single words are in cohesion's bytes.
+    assert shuffled(spark, catalogue.QUERIES[name](spark, sf)) < (20 if name == "chain2" else 50) * 100 * 400
