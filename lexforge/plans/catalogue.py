@@ -291,8 +291,10 @@ def chain3(spark, sf):
  c as (select k, reading p1, lead(reading) over (partition by k order by i) p2 from t) select p1, p2, count(*)::BIGINT n from c semi join nm on c.p1 = nm.w where p2 in (select w from nm) group by all having count(*) >= 2""", tokens=True)
 def chain_names(spark, sf):
     names = table(spark, sf, "benchmark").select(F.explode(F.regexp_extract_all("text", F.lit(units.TOKEN), 1)).alias("w")).filter("length(w) >= 4").select(F.lower("w").alias("w")).distinct()
-    c = chains.chains(tokens_of(spark, sf, units.ahead(2)), 2, 2)
-    return c.join(names, c["p1"] == names["w"], "left_semi").join(names.withColumnRenamed("w", "w2"), F.col("p2") == F.col("w2"), "left_semi").select("p1", "p2", "n")
+    c = tokens_of(spark, sf, units.ahead(2)).select(F.col("reading").alias("p1"), F.col("n2").alias("p2"))
+    # Only pairs of names are counted: the others aren't shuffled.
+    named = c.join(names, c["p1"] == names["w"], "left_semi").join(names.withColumnRenamed("w", "w2"), F.col("p2") == F.col("w2"), "left_semi")
+    return named.groupBy("p1", "p2").agg(F.count("*").alias("n")).filter("n >= 2")
 
 
 @query(""", x as (select reading, lag(reading) over (partition by k order by i) lf from t), c as (select reading, lf, count(*) n from x group by all), s as (select reading, sum(n) tot from c group by reading having sum(n) >= 50)

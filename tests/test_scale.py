@@ -90,3 +90,11 @@ def test_rare_pairs_shuffle_only_hashes(spark, monkeypatch, tmp_path, name):
         assert sorted(x[:3] for x in found) == sorted((*c, m) for c, m in every.items() if m >= 5)
     # The counts of single words are in cohesion's bytes.
     assert shuffled(spark, catalogue.QUERIES[name](spark, sf)) < (20 if name == "chain2" else 50) * 100 * 400
+
+
+def test_chain_names_shuffles_only_names(spark, tmp_path):
+    texts, _ = random_docs(spark, 100, 400, 3000)
+    sf = queries_on(spark, tmp_path, [*texts, "Blue foxes blue foxes", "blue", None], ["blue foxes run", "hens"])
+    found = catalogue.chain_names(spark, sf)
+    assert sorted(map(tuple, found.collect())) == [("blue", "foxes", 2)]
+    assert shuffled(spark, catalogue.chain_names(spark, sf)) < 20_000
