@@ -69,10 +69,19 @@ def sides(docs: DataFrame, patterns: DataFrame) -> DataFrame:
 
 
 def word_counts(docs: DataFrame, patterns: DataFrame, letter: str = "\\p{L}") -> DataFrame:
-    """(pattern, n): how often each pattern stands as a whole word, with no letter on either side; patterns that don't occur count 0."""
-    apart = lambda c: ~F.coalesce(F.col(c).rlike(letter), F.lit(False))
-    counts = occurrences(docs, patterns).filter(apart("before") & apart("after")).groupBy("pattern").agg(F.count("*").alias("n"))
-    return patterns.select("pattern").distinct().join(counts, "pattern", "left").select("pattern", F.coalesce("n", F.lit(0).cast("long")).alias("n"))
+    """(pattern, n): how often each pattern stands as a whole word, with no letter on either side; patterns that don't occur count 0.
+
+    A pattern of letters alone stands so where it's a whole run of letters, so the runs are counted and meet the patterns by equality.
+    Only patterns with other characters are sought in the texts.
+    """
+    wanted = patterns.select("pattern").distinct()
+    runs = docs.select(F.explode(F.regexp_extract_all("text", F.lit(f"((?:{letter})+)"), 1)).alias("pattern"))
+    counts = runs.groupBy("pattern").agg(F.count("*").alias("n"))
+    others = wanted.filter(~F.col("pattern").rlike(f"^(?:{letter})+\\z"))
+    if not others.isEmpty():
+        apart = lambda c: ~F.coalesce(F.col(c).rlike(letter), F.lit(False))
+        counts = counts.unionByName(occurrences(docs, others).filter(apart("before") & apart("after")).groupBy("pattern").agg(F.count("*").alias("n")))
+    return wanted.join(counts, "pattern", "left").select("pattern", F.coalesce("n", F.lit(0).cast("long")).alias("n"))
 
 
 def entropy(counts: DataFrame, keys: list[str], n: str = "n") -> DataFrame:

@@ -4,8 +4,9 @@ import random
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
-from lexforge.operators import chains, units
+from lexforge.operators import chains, dictionary, intervals, patterns, units
 from lexforge.plans import catalogue
 
 
@@ -98,3 +99,13 @@ def test_chain_names_shuffles_only_names(spark, tmp_path):
     found = catalogue.chain_names(spark, sf)
     assert sorted(map(tuple, found.collect())) == [("blue", "foxes", 2)]
     assert shuffled(spark, catalogue.chain_names(spark, sf)) < 20_000
+
+
+def test_words_of_letters_are_counted_without_a_search(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "ab abc ab-cd 😀ab\nab cd"), (2, None), (3, ""), (4, "xab ab1 é ab")], "k int, text string")
+    p = spark.createDataFrame([("ab",), ("ab",), ("abc",), ("é",), ("zz",), ("",), (None,), ("ab-cd",), ("ab\n",), ("ab cd",)], "pattern string")
+    want = {"ab": 6, "abc": 1, "é": 1, "zz": 0, "": 0, None: 0}
+    assert dict(map(tuple, patterns.word_counts(docs, p).collect())) == want | {"ab-cd": 1, "ab\n": 0, "ab cd": 1}
+    monkeypatch.setattr(patterns, "occurrences", None)
+    letters = p.filter(F.col("pattern").isNull() | ~F.col("pattern").rlike("[^\\p{L}]") & (F.length("pattern") > 0))
+    assert dict(map(tuple, patterns.word_counts(docs, letters).collect())) == {x: n for x, n in want.items() if x != ""}
