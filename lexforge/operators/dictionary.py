@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from lexforge.functions.kana import KANJI, voicings
 from lexforge.functions.words import cost_of
@@ -193,9 +196,40 @@ def preferred(first: DataFrame, second: DataFrame, keys: list[str]) -> DataFrame
     return first.unionByName(without(second, first, keys))
 
 
+#: Rows from which a worker keeps the first of each key before they're sorted: some 100 MB.
+BUFFERED = 500_000
+
+
 def first_examples(rows: DataFrame, keys: list[str], order: Column, example: Column) -> DataFrame:
-    """(keys, n, example): how often each key occurs, and its first example in order. One partial aggregate."""
-    return rows.groupBy(*keys).agg(F.count("*").alias("n"), F.min_by(example, order).alias("example"))
+    """(keys, n, example): how often each key occurs, and its first example by `order`, a struct.
+
+    Spark sorts the rows for such an aggregate, since its state has strings; so workers reduce them to one for each key of a buffer first.
+    """
+    own = rows.select(*keys, example.alias("example"), order.alias("_o"))
+    by = own.schema["_o"].dataType.names
+    sent = own.select(*keys, "example", *[F.col("_o")[name].alias(f"_o{j}") for j, name in enumerate(by)])
+    buffered = BUFFERED
+
+    def first(table: pa.Table) -> list[pa.RecordBatch]:
+        table = table.take(pc.sort_indices(table, sort_keys=[(f"_o{j}", "ascending") for j in range(len(by))], null_placement="at_start"))
+        at = table.select(keys).append_column("_at", pa.array(range(table.num_rows), pa.int64()))
+        groups = at.group_by(keys, use_threads=False).aggregate([("_at", "min"), ("_at", "count")])
+        return table.take(groups["_at_min"]).append_column("n", groups["_at_count"]).combine_chunks().to_batches()
+
+    def reduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            held.append(batch)
+            size += batch.num_rows
+            if size >= buffered:
+                yield from first(pa.Table.from_batches(held))
+                held, size = [], 0
+        if size:
+            yield from first(pa.Table.from_batches(held))
+
+    reduced = sent.mapInArrow(reduce, StructType([*sent.schema.fields, StructField("n", LongType())]))
+    place = F.struct(*[f"_o{j}" for j in range(len(by))])
+    return reduced.groupBy(*keys).agg(F.sum("n").alias("n"), F.min_by("example", place).alias("example"))
 
 
 def report(**kinds: DataFrame) -> DataFrame:

@@ -109,3 +109,20 @@ def test_words_of_letters_are_counted_without_a_search(spark, monkeypatch):
     monkeypatch.setattr(patterns, "occurrences", None)
     letters = p.filter(F.col("pattern").isNull() | ~F.col("pattern").rlike("[^\\p{L}]") & (F.length("pattern") > 0))
     assert dict(map(tuple, patterns.word_counts(docs, letters).collect())) == {x: n for x, n in want.items() if x != ""}
+
+
+def test_first_examples_reduces_rows_before_they_are_sorted(spark, monkeypatch):
+    monkeypatch.setattr(dictionary, "BUFFERED", 50, raising=False)
+    r = random.Random(3)
+    data = [(r.choice(["a", "b", "c", None]), r.choice(["A", "B", None]), r.choice(["s:1", "s:10", "s:2", None]), i) for i in range(1000)]
+    rows = spark.createDataFrame(data, "reading string, surface string, k string, i int").repartition(3)
+    found = dictionary.first_examples(rows, ["reading"], F.struct("k", "i"), F.col("surface"))
+    first = {}
+    for x in data:
+        first.setdefault(x[0], []).append(x)
+    order = lambda x: (x[2] is not None, x[2] or "", x[3])
+    assert found.columns == ["reading", "n", "example"]
+    assert sorted(map(tuple, found.collect()), key=repr) == sorted(((k, len(v), min(v, key=order)[1]) for k, v in first.items()), key=repr)
+    assert found.limit(0).count() == 0 and dictionary.first_examples(rows.filter("false"), ["reading"], F.struct("k", "i"), F.col("surface")).count() == 0
+    plan = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
+    assert "MapInArrow" in plan and plan.rindex("SortAggregate") < plan.index("MapInArrow")
