@@ -22,14 +22,19 @@ def covered(units: DataFrame, spans: DataFrame) -> DataFrame:
 
 
 def not_running_out(units: DataFrame, spans: DataFrame) -> DataFrame:
-    """The units that no span overlaps in part: each that meets a unit is within it.
+    """The units that no span overlaps in part: each that meets a unit contains it.
 
-    Both sides are dealt out to the places they touch, so the join is an equality of document and place.
+    A span that meets a unit without containing it starts or ends inside the unit. So the first edge of a span after a unit's start
+    isn't before its end, and one running minimum from the document's end replaces a join of places.
     """
-    touch = lambda df: df.withColumn("_at", F.explode(F.sequence(F.col("start"), F.col("end") - 1)))
-    met = touch(units.select("k", "start", "end")).join(touch(spans.select("k", F.col("start").alias("s"), F.col("end").alias("e")).withColumnsRenamed({"s": "start", "e": "end"})).select("k", "_at", F.col("start").alias("s"), F.col("end").alias("e")), ["k", "_at"])
-    out = met.filter("start < s or end > e").select("k", "start", "end").distinct()
-    return units.join(out, ["k", "start", "end"], "left_anti")
+    rest = [c for c in units.columns if c not in ("k", "start", "end")]
+    own = units.select("k", "start", "end", F.struct(*rest).alias("_u") if rest else F.lit(0).alias("_u"), F.lit(1).alias("_is_unit"))
+    edges = spans.filter("k is not null").select("k", F.explode(F.array("start", "end")).alias("start"))
+    other = edges.select("k", "start", F.col("start").alias("end"), F.lit(None).cast(own.schema["_u"].dataType).alias("_u"), F.lit(0).alias("_is_unit"))
+    after = Window.partitionBy("k").orderBy(-F.col("start")).rangeBetween(Window.unboundedPreceding, -1)
+    out = own.unionByName(other).withColumn("_edge", F.min(F.when(F.col("_is_unit") == 0, F.col("start"))).over(after))
+    kept = out.filter("_is_unit = 1 and (_edge is null or _edge >= end)")
+    return kept.select(*[F.col("_u")[c].alias(c) if c in rest else F.col(c) for c in units.columns])
 
 
 def greedy(spans: DataFrame) -> DataFrame:

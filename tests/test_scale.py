@@ -126,3 +126,15 @@ def test_first_examples_reduces_rows_before_they_are_sorted(spark, monkeypatch):
     assert found.limit(0).count() == 0 and dictionary.first_examples(rows.filter("false"), ["reading"], F.struct("k", "i"), F.col("surface")).count() == 0
     plan = found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[-1]
     assert "MapInArrow" in plan and plan.rindex("SortAggregate") < plan.index("MapInArrow")
+
+
+def test_running_out_needs_no_join(spark):
+    r = random.Random(4)
+    make = lambda n: [(r.choice(["a", "b", None]), s := r.randrange(40), s + r.randrange(1, 6), r.randrange(9)) for _ in range(n)]
+    us, ss = make(90), make(12)
+    u, s = spark.createDataFrame(us, "k string, start long, end long, x int"), spark.createDataFrame(ss, "k string, start int, end int, y int")
+    out = lambda a: any(a[0] == b[0] is not None and a[1] < b[2] and a[2] > b[1] and (a[1] < b[1] or a[2] > b[2]) for b in ss)
+    found = intervals.not_running_out(u, s)
+    assert found.columns == u.columns and dict(found.dtypes) == dict(u.dtypes)
+    assert sorted(map(tuple, found.collect()), key=repr) == sorted((a for a in us if not out(a)), key=repr)
+    assert "Join" not in found._jdf.queryExecution().executedPlan().toString()
